@@ -27,7 +27,7 @@ WITH t AS (
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), s AS (
   SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n,
-    sum(10 + length(role) + length(text)
+    sum(9 + length(role) + length(text)
       + length(regexp_replace(role, '[^\\<\[\]]', '', 'g')) + length(regexp_replace(text, '[^\\<\[\]]', '', 'g'))) OVER w AS upto
   FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
 )

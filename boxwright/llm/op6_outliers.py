@@ -28,9 +28,10 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Least standard deviation of each feature, so that a statistic that is 0 nearly everywhere does not reject all else.
-FLOORS = [0.5, 0.04, 0.06, 0.08, 0.08]
+FLOORS = [0.5, 0.06, 0.06, 0.3, 0.3]
 FEATURES = [f"f{i}" for i in range(len(FLOORS))]
-MIN_CELL, CORE, STEPS, CUTOFF, CHI2_MEDIAN = 200, 0.75, 3, 45.0, 4.351
+#: CUTOFF: about the geometric mean of the largest distance of labelled good documents and the least of labelled junk.
+MIN_CELL, CORE, STEPS, CUTOFF, CHI2_MEDIAN = 200, 0.75, 3, 200.0, 4.351
 
 
 def text_stats(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
