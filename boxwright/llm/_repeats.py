@@ -242,7 +242,7 @@ def without_repeats(docs: DataFrame, repeats: Callable[[int], Repeats], finish:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = repeats(parts)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    points = split_points(rows.select("doc_id").na.drop(), "doc_id", 4 * parts)
+    points = split_points(rows.select("doc_id").na.drop(), "doc_id", 2 * parts)
     text = rows.withColumn("bucket", part_of(F.col("doc_id"), points)).repartition(parts, "bucket")
 
     def last(key, table: pa.Table, answers: pa.Table) -> pa.Table:
