@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from boxwright.llm._shared import documents, shared_dir
 from boxwright.llm._text import chunks, utf8
-from boxwright.llm._tokens import Encoder
+from boxwright.llm._tokens import encoder
 
 HEAD = struct.Struct("<QI")
 META = struct.Struct("<BqB")
@@ -68,16 +68,16 @@ def _writer(folder: str, tokenizer: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        encoder = Encoder(tokenizer, keeps_space=True)
-        end = np.array([end_id], encoder.dtype).tobytes()
-        width, files = encoder.dtype.itemsize, None
+        coder = encoder(tokenizer, keeps_space=True)
+        end = np.array([end_id], coder.dtype).tobytes()
+        width, files = coder.dtype.itemsize, None
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         system, root = fs.FileSystem.from_uri(folder)
         name, at, docs, tokens = f"{root}/part-{part:06d}", 0, 0, 0
         for batch in batches:
             _, offs = utf8(batch.column("text"))
             for a, b in chunks(offs, 2 << 20):
-                ids = encoder.encode(batch.column("text").slice(a, b - a).to_pylist())
+                ids = coder.encode(batch.column("text").slice(a, b - a))
                 if files is None:
                     system.create_dir(root, recursive=True)
                     files = [system.open_output_stream(f"{root}/.{part:06d}-{attempt}.{x}") for x in ("rec", "idx")]

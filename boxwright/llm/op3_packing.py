@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from boxwright.llm._shared import documents
 from boxwright.llm._text import U64, chunks, hashes, utf8, words
-from boxwright.llm._tokens import Encoder
+from boxwright.llm._tokens import encoder
 
 BUCKETS, DIMS, BITS, SEED = 512, 4, 10, 7
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -75,13 +75,13 @@ def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _packer(tokenizer: str, end_id: int, size: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, keeps_space=False)
-        end, width = np.array([end_id], encoder.dtype).tobytes(), encoder.dtype.itemsize
+        coder = encoder(tokenizer, keeps_space=False)
+        end, width = np.array([end_id], coder.dtype).tobytes(), coder.dtype.itemsize
         base, sequence, filled = TaskContext.get().partitionId() << 40, 0, 0
         open_rows: list[tuple] = []  # pieces of the sequence that is not full
 
         def row(doc, start, ids, total, seq, off):
-            return doc, start, len(ids) // width, zlib.crc32(np.frombuffer(ids, encoder.dtype).astype("<u4").tobytes()), total, base + seq, off, ids
+            return doc, start, len(ids) // width, zlib.crc32(np.frombuffer(ids, coder.dtype).astype("<u4").tobytes()), total, base + seq, off, ids
 
         def batch_of(rows):
             kinds = [pa.int64()] * 7 + [pa.binary()]
@@ -91,7 +91,7 @@ def _packer(tokenizer: str, end_id: int, size: int):
             _, offs = utf8(batch.column("text"))
             for a, b in chunks(offs, 2 << 20):
                 out = []
-                coded = encoder.encode(batch.column("text").slice(a, b - a).to_pylist())
+                coded = coder.encode(batch.column("text").slice(a, b - a))
                 for doc, ids in zip(batch.column("doc_id").slice(a, b - a).to_pylist(), coded, strict=True):
                     ids += end
                     total, start = len(ids) // width, 0
