@@ -2,12 +2,13 @@
 
 Documents with equal shingle sets are one class; only classes take part. In each of ``RUNS`` runs a set picks the tokens
 whose hash, seeded by the run, is below 1 / (0.8 x its size), so two similar sets are likely to pick a token that they
-share. Sets that picked the same token form a node. Nodes of up to ``SMALL`` sets are compared by brute force; larger
-ones are split again by tokens picked with a hash seeded by the path so far, down to ``DEPTH`` levels. The number of
-runs follows from the target recall. Pairs in a node are filtered by 128 min-hash values (a similar pair passes but for
-about one in 1e5); what passes is joined to components by label propagation over nodes. Then every pair of a component
-is verified exactly by counting shared tokens, in blocks of ``BLOCK`` sets, so no group is gathered in one task and no
-pair is emitted: a block pair gives link counts and a spanning star.
+share. Sets that picked the same token form a node. Nodes of up to ``SMALL`` sets are compared by brute force on
+sketches (the least hash in each of 128 bins; a pair at the limit passes but for about one in 1e5). Larger nodes whose
+sets are similar to one of them on average are brute-forced as a whole; all others are split again, by tokens sampled
+in the sketch and picked with a hash seeded by the path so far, down to ``DEPTH`` levels. The number of runs follows
+from the target recall. What passes is joined to components by label propagation over nodes. Then every pair of a
+component is verified exactly by counting shared tokens, in blocks of ``BLOCK`` sets, so no group is gathered in one
+task and no pair is emitted: a block pair gives link counts and a spanning star.
 
 Result of join(): doc_id, class_id (least doc_id of the connected component of links), copy_id (least doc_id with an
 equal set), n_links (documents linked to this one, copies included), n_class_links (linked classes with another set).
@@ -21,6 +22,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ from boxwright.llm._shared import documents, written
 from boxwright.llm._text import U64, chunks, hashes, mix, rolling, utf8, words
 
 K, LIMIT, RECALL = 5, 0.8, 0.9999
-SMALL, DEPTH, BLOCK, SKETCH, PASS = 128, 5, 1024, 128, 0.64
+SMALL, DEPTH, BLOCK, BINS, PASS, DENSE = 128, 4, 1024, 128, 0.64, 0.5
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -82,6 +84,26 @@ def picked(token: np.ndarray, owner: np.ndarray, sizes: np.ndarray, seed: np.nda
     return at, mix(h[at] + U64(_STEP))
 
 
+def sketches(token: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Per set the least 16-bit hash in each of BINS bins of its tokens; 0xFFFF: none."""
+    h = mix(token ^ U64(0x632BE59BD9B4E019))
+    key = (owner.astype(U64) * U64(BINS) + h % U64(BINS)) << U64(16) | np.minimum(h >> U64(48), U64(0xFFFE))
+    key.sort()
+    slot = key >> U64(16)
+    first = np.ones(len(key), bool)
+    first[1:] = slot[1:] != slot[:-1]
+    out = np.full(n * BINS, 0xFFFF, "<u2")
+    out[slot[first].astype(np.int64)] = key[first] & U64(0xFFFF)
+    return out.reshape(n, BINS)
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of sketches, along the last axis; two empty ones are equal."""
+    any_, same = (np.minimum(a, b) != 0xFFFF), a == b
+    n = any_.sum(-1)
+    return np.where(n > 0, (any_ & same).sum(-1) / np.maximum(n, 1), 1.0)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         buf, offs = utf8(batch.column("text"))
@@ -97,8 +119,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             docs, keys = np.concatenate(docs), np.concatenate(keys)
             order = np.argsort(docs, kind="stable")
             lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=b - a))]).astype(np.int32), pa.array(keys[order].view(np.int64)))
-            fp = pa.array([x.tobytes() for x in fingerprints(token, own)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), fp, lists], ["doc_id", "th", "fp", "keys"])
+            fp, sketch = (pa.array([x.tobytes() for x in y], pa.binary()) for y in (fingerprints(token, own), sketches(token, owner, b - a)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), fp, lists, sketch], ["doc_id", "th", "fp", "keys", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,28 +129,31 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in chunks(offs):
             token, own = shingle_sets(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
             fps = [x.tobytes() for x in fingerprints(token, own)]
-            sets = [token[own[i] : own[i + 1]] for i in range(b - a)]
-            least = np.full((SKETCH, b - a), 0xFFFF, U64)
-            full = np.flatnonzero(np.diff(own))
-            for k in range(SKETCH if len(full) else 0):
-                least[k, full] = np.minimum.reduceat(mix(token + U64((k + 1) * _STEP % (1 << 64))), own[full]) & U64(0xFFFF)
-            sketches = np.ascontiguousarray(least.T.astype("<u2"))
-            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array([x.tobytes() for x in sketches], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], ["fp", "sketch", "tokens"])
+            sets = [token[own[i] : own[i + 1]].tobytes() for i in range(b - a)]
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(sets, pa.binary())], ["fp", "tokens"])
 
 
 def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Next level of the given nodes of each set."""
+    """Next level of the given nodes of each set, by the tokens that its sketch holds."""
     for batch in batches:
         fps, keys = [], []
-        for fp, tokens, nodes in zip(*(batch.column(c).to_pylist() for c in ("fp", "tokens", "keys")), strict=True):
-            token, node = np.frombuffer(tokens, U64), np.array(nodes, np.int64).view(U64)
-            for v in node:
-                _, key = picked(token, np.zeros(len(token), np.int64), np.array([len(token)]), mix(np.array([v]))[0])
+        for fp, sketch, nodes in zip(*(batch.column(c).to_pylist() for c in ("fp", "sketch", "keys")), strict=True):
+            values = np.frombuffer(sketch, "<u2")
+            bins = np.flatnonzero(values != 0xFFFF)
+            token = mix(bins.astype(U64) << U64(16) | values[bins].astype(U64))
+            for v in np.array(nodes, np.int64).view(U64):
+                # a sketch shares fewer of its places than a set its tokens, so it picks 2 / (1 + LIMIT) times as many
+                _, key = picked(token, np.zeros(len(token), np.int64), np.array([len(token) * (1 + LIMIT) / 2]), mix(np.array([v]))[0])
                 fps += [fp] * len(key)
                 keys.append(key)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()), pa.array(fps, pa.binary())], ["key", "fp"])
 
 
+def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
+    x, y = (np.frombuffer(b"".join(s), "<u2").reshape(len(s), BINS) for s in (a, b))
+    return pd.Series(similarity(x, y))
+
+
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Least member of each member's component, by propagating labels along the links a - b."""
     label = np.arange(n)
@@ -145,17 +170,18 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _filter(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Stars (root, member) of the pairs in each node that the sketches let pass."""
+    table = table.sort_by([("key", "ascending"), ("fp", "ascending")])  # a star's root is its least member
     node = table.column("key").to_numpy()
-    order = np.argsort(node, kind="stable")
+    order = np.arange(len(node))
     fps = table.column("fp").to_pylist()
-    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u2").reshape(len(fps), SKETCH)
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u2").reshape(len(fps), BINS)
     out_a, out_b = [], []
     edge = np.flatnonzero(np.diff(node[order], prepend=node[order[0]] - 1 if len(order) else 0, append=0) != 0) if len(order) else np.zeros(0, int)
     cuts = np.append(np.unique(edge[edge < len(order)]), len(order)) if len(order) else edge
     for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         at = order[x:y]
         s = sketch[at]
-        near = [np.flatnonzero((s[i + 1 :] == s[i]).mean(1) >= PASS) + i + 1 for i in range(len(at) - 1)]
+        near = [np.flatnonzero(similarity(s[i + 1 :], s[i]) >= PASS) + i + 1 for i in range(len(at) - 1)]
         a = np.repeat(np.arange(len(at) - 1), [len(v) for v in near])
         b = np.concatenate(near) if near else a
         label = roots(len(at), a, b)
@@ -197,6 +223,7 @@ def _verify(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     for r in rows:
         groups.setdefault((r["comp"], r["bi"], r["bj"]), []).append(r)
     for (_, bi, bj), members in groups.items():
+        members = sorted({r["fp"]: r for r in members}.values(), key=lambda r: r["fp"])  # a set once, though its row repeats
         lefts = [r for r in members if r["block"] == bi]
         rights = lefts if bi == bj else [r for r in members if r["block"] == bj]
         if not rights or not lefts:
@@ -210,6 +237,9 @@ def _verify(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         a, b = np.nonzero(linked)
         every = lefts if bi == bj else lefts + rights
         label = roots(len(every), a, b if bi == bj else b + len(lefts))
+        least = [min(every[label[i]]["fp"], r["fp"]) for i, r in enumerate(every)]
+        for i, f in enumerate(least):  # across two blocks the least number need not be the least member
+            least[label[i]] = min(least[label[i]], f)
         weights = [np.array([r["n"] for r in side]) for side in (lefts, rights)]
         for side, m, w in [(lefts, linked, weights[1])] + ([] if bi == bj else [(rights, linked.T, weights[0])]):
             for r, c, d in zip(side, m.sum(1).tolist(), (m @ w).tolist(), strict=True):
@@ -217,28 +247,35 @@ def _verify(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
                 out[1].append(c)
                 out[2].append(d)
         for c, side in enumerate((lefts,) if bi == bj else (lefts, rights)):
-            out[3].extend(every[label[i + (len(lefts) if c else 0)]]["fp"] for i in range(len(side)))
+            out[3].extend(least[label[i + (len(lefts) if c else 0)]] for i in range(len(side)))
     return pa.table({"fp": pa.array(out[0], pa.binary()), "classes": pa.array(out[1], pa.int64()), "docs": pa.array(out[2], pa.int64()), "root": pa.array(out[3], pa.binary())})
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """fp, label of the graph of (hub, fp) rows, both binary: the least fp or hub reached, by label propagation.
+    """fp, label of the graph of (hub, fp) rows, both binary: the least hub reached.
 
-    A round passes the least label from members to hubs and back, then jumps to the label's label; labels are written
-    tables. Rounds grow with the logarithm of a path's length at worst on stars, and end when nothing changes.
+    A member keeps its least hub, to which its other hubs are linked; so only the graph of hubs is left, which is small
+    as every star's hub is its least member. There, each round passes the least label along the links and jumps to the
+    label's label, until nothing changes; labels are written tables.
     """
-    edges = written(edges.where(F.col("hub") != F.col("fp")).distinct(), "edges")
-    links = edges.union(edges.select("fp", "hub"))
-    label = links.groupBy(F.col("hub").alias("fp")).agg(F.min("fp").alias("low")).select("fp", F.least("fp", "low").alias("label"))
+    every = edges.select("hub", "fp").unionByName(edges.select("hub", F.col("hub").alias("fp"))).distinct()
+    every = written(every, "edges")
+    low = written(every.groupBy("fp").agg(F.min("hub").alias("low")), "low")
+    links = written(every.join(low, "fp").where(F.col("hub") != F.col("low")).select(F.col("low").alias("a"), F.col("hub").alias("b")).distinct(), "links")
+    if links.isEmpty():
+        return low.select("fp", F.col("low").alias("label"))
+    links = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    label = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).select("node", F.least("node", "label").alias("label"), F.lit(True).alias("moved"))
     label = written(label, "label")
     while True:
-        near = links.join(label.select(F.col("fp").alias("hub"), "label"), "hub").groupBy("fp").agg(F.min("label").alias("near"))
-        new = label.join(near, "fp").select("fp", "label", F.least("label", "near").alias("next"))
-        jump = new.select(F.col("fp").alias("next"), F.col("next").alias("far"))
-        step = written(new.join(jump, "next", "left").select("fp", F.least("next", F.coalesce("far", "next")).alias("label"), (F.col("label") != F.least("next", F.coalesce("far", "next"))).alias("moved")), "label")
-        label = step.select("fp", "label")
-        if step.where("moved").isEmpty():
-            return label
+        near = links.join(label.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        jump = label.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        new = F.least("label", "near", F.coalesce("far", "label"))
+        label = written(label.select("node", "label").join(near, "node").join(jump, "label", "left").select("node", new.alias("label"), (new != F.col("label")).alias("moved")), "label")
+        if label.where("moved").isEmpty():
+            break
+    named = label.select(F.col("node").alias("low"), "label")
+    return low.join(named, "low", "left").select("fp", F.coalesce("label", "low").alias("label"))
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -246,36 +283,36 @@ def join(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
-    signed = written(text.mapInArrow(_sign, "doc_id long, th long, fp binary, keys array<bigint>"), "signed")
+    signed = written(text.mapInArrow(_sign, "doc_id long, th long, fp binary, keys array<bigint>, sketch binary"), "signed")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
-    classes = written(signed.groupBy("fp").agg(least.alias("rep"), F.count("*").alias("n"), F.min("keys").alias("keys")), "classes")
+    classes = written(signed.groupBy("fp").agg(least.alias("rep"), F.count("*").alias("n"), F.min("keys").alias("keys"), F.min("sketch").alias("sketch")), "classes")
 
     nodes = classes.select(F.explode("keys").alias("key"), "fp")
-    shared = nodes.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    met = written(nodes.join(shared, "key"), "met")
-    wanted = met.select("fp").distinct().join(classes, "fp").select("fp", "rep.doc_id", "rep.th")
-    chosen = text.join(wanted.withColumnsRenamed({"doc_id": "__d", "th": "__t"}), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("th") == F.col("__t")), "left_semi")
-    sets = written(chosen.select("text").mapInArrow(_sets, "fp binary, sketch binary, tokens binary").dropDuplicates(["fp"]), "sets")
-
-    leaves, level = met.where(F.col("size") <= SMALL).select("key", "fp"), met.where(F.col("size") > SMALL)
-    for depth in range(2, DEPTH + 1):
-        if level.isEmpty():
+    stars, alike = None, F.pandas_udf(_alike, "double")
+    for depth in range(1, DEPTH + 1):
+        sizes = nodes.groupBy("key").agg(F.count("*").alias("size"), F.min("fp").alias("hub")).where("size > 1")
+        met = written(nodes.join(sizes, "key"), "met")
+        drawn = classes.select("fp", "sketch")
+        unit = F.pmod(F.xxhash64("key"), F.lit(4 * parts)).alias("unit")
+        small = met.where(F.col("size") <= SMALL).join(drawn, "fp").select("key", "fp", "sketch").groupBy(unit).applyInArrow(_filter, "hub binary, fp binary")
+        large = met.where(F.col("size") > SMALL).join(drawn, "fp")
+        near = large.join(classes.select(F.col("fp").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub").groupBy("key").agg(F.avg(alike("sketch", "hub_sketch")).alias("alike"))
+        large = written(large.join(near, "key").withColumn("dense", (F.col("alike") >= DENSE) | F.lit(depth == DEPTH)), "large")
+        found = small.unionByName(large.where("dense").select("hub", "fp"))
+        stars = found if stars is None else stars.unionByName(found)
+        open_ = large.where(~F.col("dense"))
+        if open_.isEmpty():
             break
-        grown = level.groupBy("fp").agg(F.collect_list("key").alias("keys")).join(sets, "fp").select("fp", "tokens", "keys")
-        below = written(grown.mapInArrow(_children, "key long, fp binary"), "below")
-        sizes = below.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        below = written(below.join(sizes, "key"), "below")
-        leaves = leaves.unionByName(below.where(F.col("size") <= SMALL).select("key", "fp"))
-        level = below.where(F.col("size") > SMALL)
-    # nodes still large after the last level hold sets that share a whole path: their members go on unfiltered
-    first = level.groupBy("key").agg(F.min("fp").alias("hub"))
-    dense = level.join(first, "key").select("hub", "fp")
-    pairs = leaves.join(sets.select("fp", "sketch"), "fp").groupBy(F.pmod(F.xxhash64("key"), F.lit(4 * parts)).alias("unit"))
-    comps = written(components(pairs.applyInArrow(_filter, "hub binary, fp binary").unionByName(dense)), "comps")
+        grown = open_.groupBy("fp").agg(F.collect_list("key").alias("keys"), F.min("sketch").alias("sketch"))
+        nodes = written(grown.mapInArrow(_children, "key long, fp binary"), "nodes")
+    comps = written(components(stars), "comps")
+    wanted = comps.join(classes, "fp").select(F.col("rep.doc_id").alias("__d"), F.col("rep.th").alias("__t"))
+    chosen = text.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("th") == F.col("__t")), "left_semi")
+    sets = chosen.select("text").mapInArrow(_sets, "fp binary, tokens binary")
 
     sizes = comps.groupBy("label").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     member = comps.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    member = member.join(sets.select("fp", "tokens"), "fp").join(classes.select("fp", "n"), "fp")
+    member = member.join(classes.select("fp", "n"), "fp").join(sets, "fp")
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     work = member.withColumn("other", F.explode(other)).select(F.col("label").alias("comp"), "fp", "tokens", "n", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "blocks")
     unit = F.when(F.col("blocks") > 1, F.xxhash64("comp", "bi", "bj")).otherwise(F.pmod(F.xxhash64("comp"), F.lit(8 * parts)))
