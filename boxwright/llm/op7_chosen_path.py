@@ -31,7 +31,7 @@ from boxwright.llm._shared import documents, written
 from boxwright.llm._text import U64, chunks, hashes, mix, rolling, utf8, words
 
 K, LIMIT, RECALL = 5, 0.8, 0.9999
-SMALL, DEPTH, BLOCK, BINS, PASS, DENSE = 128, 4, 1024, 128, 0.64, 0.5
+SMALL, DEPTH, BLOCK, BINS, PASS, DENSE = 128, 6, 1024, 128, 0.64, 0.5
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -136,7 +136,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Next level of the given nodes of each set, by the tokens that its sketch holds."""
     for batch in batches:
-        fps, keys = [], []
+        fps, drawn, keys = [], [], []
         for fp, sketch, nodes in zip(*(batch.column(c).to_pylist() for c in ("fp", "sketch", "keys")), strict=True):
             values = np.frombuffer(sketch, "<u2")
             bins = np.flatnonzero(values != 0xFFFF)
@@ -145,8 +145,9 @@ def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # a sketch shares fewer of its places than a set its tokens, so it picks 2 / (1 + LIMIT) times as many
                 _, key = picked(token, np.zeros(len(token), np.int64), np.array([len(token) * (1 + LIMIT) / 2]), mix(np.array([v]))[0])
                 fps += [fp] * len(key)
+                drawn += [sketch] * len(key)
                 keys.append(key)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()), pa.array(fps, pa.binary())], ["key", "fp"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()), pa.array(fps, pa.binary()), pa.array(drawn, pa.binary())], ["key", "fp", "sketch"])
 
 
 def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -290,21 +291,30 @@ def join(docs: DataFrame) -> DataFrame:
     nodes = classes.select(F.explode("keys").alias("key"), "fp")
     stars, alike = None, F.pandas_udf(_alike, "double")
     for depth in range(1, DEPTH + 1):
-        sizes = nodes.groupBy("key").agg(F.count("*").alias("size"), F.min("fp").alias("hub")).where("size > 1")
-        met = written(nodes.join(sizes, "key"), "met")
-        drawn = classes.select("fp", "sketch")
+        hub = F.min("fp" if depth == 1 else F.struct("fp", "sketch"))
+        sizes = nodes.groupBy("key").agg(F.count("*").alias("size"), hub.alias("h")).where("size > 1")
+        met = nodes.join(sizes, "key")
+        if depth == 1:  # sketches come after the nodes of one set are gone; deeper nodes bring theirs along
+            met = met.withColumn("hub", F.col("h")).join(classes.select("fp", "sketch"), "fp")
+        else:
+            met = met.withColumns({"hub": F.col("h.fp"), "hub_sketch": F.col("h.sketch")})
+        met = written(met.drop("h"), "met")
         unit = F.pmod(F.xxhash64("key"), F.lit(4 * parts)).alias("unit")
-        small = met.where(F.col("size") <= SMALL).join(drawn, "fp").select("key", "fp", "sketch").groupBy(unit).applyInArrow(_filter, "hub binary, fp binary")
-        large = met.where(F.col("size") > SMALL).join(drawn, "fp")
-        near = large.join(classes.select(F.col("fp").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub").groupBy("key").agg(F.avg(alike("sketch", "hub_sketch")).alias("alike"))
-        large = written(large.join(near, "key").withColumn("dense", (F.col("alike") >= DENSE) | F.lit(depth == DEPTH)), "large")
-        found = small.unionByName(large.where("dense").select("hub", "fp"))
-        stars = found if stars is None else stars.unionByName(found)
-        open_ = large.where(~F.col("dense"))
-        if open_.isEmpty():
+        small = met.where(F.col("size") <= SMALL).select("key", "fp", "sketch").groupBy(unit).applyInArrow(_filter, "hub binary, fp binary")
+        stars = small if stars is None else stars.unionByName(small)
+        large = met.where(F.col("size") > SMALL)
+        if large.isEmpty():
             break
-        grown = open_.groupBy("fp").agg(F.collect_list("key").alias("keys"), F.min("sketch").alias("sketch"))
-        nodes = written(grown.mapInArrow(_children, "key long, fp binary"), "nodes")
+        if depth == 1:
+            large = large.join(classes.select(F.col("fp").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
+        near = large.withColumn("alike", alike("sketch", "hub_sketch")).groupBy("key").agg(F.avg("alike").alias("alike"))
+        large = large.join(near.where(F.col("alike") >= DENSE).select("key", F.lit(True).alias("dense")), "key", "left")
+        large = written(large.select("key", "fp", "hub", "sketch", (F.coalesce("dense", F.lit(False)) | F.lit(depth == DEPTH)).alias("dense")), "large")
+        stars = stars.unionByName(large.where("dense").select("hub", "fp"))
+        if depth == DEPTH or large.where("NOT dense").isEmpty():
+            break
+        grown = large.where("NOT dense").groupBy("fp").agg(F.collect_list("key").alias("keys"), F.min("sketch").alias("sketch"))
+        nodes = written(grown.mapInArrow(_children, "key long, fp binary, sketch binary"), "nodes")
     comps = written(components(stars), "comps")
     wanted = comps.join(classes, "fp").select(F.col("rep.doc_id").alias("__d"), F.col("rep.th").alias("__t"))
     chosen = text.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("th") == F.col("__t")), "left_semi")
