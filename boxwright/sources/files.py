@@ -44,7 +44,7 @@ def label_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     A file with a row of more than six fields is a polygon file: its boxes come from the points. Other rows need five.
     """
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(folder).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     lines = F.filter(F.transform(F.split("value", "\n"), lambda x: F.trim(x)), lambda x: x != "")
     fields = F.transform(lines, lambda x: F.transform(F.split(x, r"\s+"), lambda v: v.try_cast("double")))
     rows = files.withColumn("rows", fields).withColumn("polygon", F.exists("rows", lambda r: F.size(r) > 6)).select("path", "polygon", F.posexplode_outer("rows").alias("line", "f"))
