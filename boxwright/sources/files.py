@@ -42,9 +42,10 @@ def class_folders(spark: SparkSession, folder: str) -> DataFrame:
 def label_rows(spark: SparkSession, folder: str) -> DataFrame:
     """path, line, cls, x, y, w, h, points, status of all label files.
 
-    A file with a row of more than six fields is a polygon file: its boxes come from the points. Other rows need five.
+    Spark's file sources skip files of no bytes, so those look missing in a left join with the images; blank ones are
+    ``empty``. A file with a row of more than six fields is a polygon file: its boxes come from the points. Other rows need five.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(folder).select("path", F.col("content").cast("string").alias("value"))  # lists empty files too
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(folder).select("path", F.col("content").cast("string").alias("value"))
     lines = F.filter(F.transform(F.split("value", "\n"), lambda x: F.trim(x)), lambda x: x != "")
     fields = F.transform(lines, lambda x: F.transform(F.split(x, r"\s+"), lambda v: v.try_cast("double")))
     rows = files.withColumn("rows", fields).withColumn("polygon", F.exists("rows", lambda r: F.size(r) > 6)).select("path", "polygon", F.posexplode_outer("rows").alias("line", "f"))

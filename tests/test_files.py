@@ -13,7 +13,7 @@ from boxwright.streaming import frames as R
 def test_label_rows(spark, tmp_path):
     (tmp_path / "a.txt").write_text("0 0.5 0.5 0.2 0.2\n1 1.5 0.5 0.2 0.2\n2 -0.1 0.5 0.2 0.2\n3 0.5 0.5 0.2\n")
     (tmp_path / "b.txt").write_text("4 0.1 0.1 0.3 0.1 0.3 0.5\n")
-    (tmp_path / "c.txt").write_text("")
+    (tmp_path / "c.txt").write_text("\n")
     got = {(r.path.rsplit("/", 1)[1], r.line): r for r in S.label_rows(spark, str(tmp_path)).collect()}
     assert [got["a.txt", k].status for k in range(4)] == ["ok", "outside", "negative", "fields"]
     b = got["b.txt", 0]
