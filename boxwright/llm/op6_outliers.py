@@ -123,16 +123,20 @@ def _distance() -> Column:
 
 
 def fit(rows: DataFrame) -> DataFrame:
-    """cell, mean, inv, scale, n from rows of cell and FEATURES. Small tables are written between steps."""
+    """cell, mean, inv, scale, n from rows of cell and FEATURES.
+
+    Tables of a row a cell are written, so that their size is known before a join to the rows is planned: while they are
+    small the rows are joined where they lie, and a hot cell does not meet in one task.
+    """
     p = len(FEATURES)
-    mids = rows.groupBy("cell").agg(F.count("*").alias("n"), *(F.percentile_approx(f, 0.5, 2000).alias(f"m{i}") for i, f in enumerate(FEATURES)))
+    mids = written(rows.groupBy("cell").agg(F.count("*").alias("n"), *(F.percentile_approx(f, 0.5, 2000).alias(f"m{i}") for i, f in enumerate(FEATURES))), "mids")
     off = rows.join(mids, "cell").groupBy("cell").agg(*(F.percentile_approx(F.abs(F.col(f) - F.col(f"m{i}")), 0.5, 2000).alias(f"a{i}") for i, f in enumerate(FEATURES)))
     spread = [F.lit(1.0) / (F.pow(1.4826 * F.col(f"a{i}"), 2) + FLOORS[i] ** 2) for i in range(p)]
     model = mids.join(off, "cell").select("cell", F.array(*(F.col(f"m{i}") for i in range(p))).alias("mean"), F.array(*(spread[i] if i == j else F.lit(0.0) for i in range(p) for j in range(p))).alias("inv"))
     for _ in range(STEPS):
         model = written(model, "mcd")
         near = rows.join(model, "cell").withColumn("d2", _distance())
-        limit = near.groupBy("cell").agg(F.percentile_approx("d2", CORE, 2000).alias("limit"))
+        limit = written(near.groupBy("cell").agg(F.percentile_approx("d2", CORE, 2000).alias("limit")), "limit")
         core = near.join(limit, "cell").where(F.col("d2") <= F.col("limit"))
         moments = core.groupBy("cell").agg(*(F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)), *(F.avg(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"c{i}{j}") for i in range(p) for j in range(i, p)))
         model = moments.mapInPandas(_inverse, "cell string, mean array<double>, inv array<double>")
