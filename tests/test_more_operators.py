@@ -10,6 +10,7 @@ from boxwright.operators import masks as K
 from boxwright.operators import runs as U
 from boxwright.operators import sampling as P
 from boxwright.operators import selection as L
+from boxwright.sources import logs as W
 
 RUN = "image_id long, obj_id int, y int, x0 int, x1 int"
 
@@ -88,3 +89,44 @@ def test_first_of_tied_maxima_is_best(spark):
 def test_scalars(spark):
     r = spark.range(1).select(C.url_name(F.lit("https://h/a/b%20c.zip?x=1/2#f")).alias("u"), C.is_ascii(F.lit("é")).alias("a"), C.is_chinese(F.lit("x中")).alias("c"), *(c.alias(n) for n, c in zip("rgb", C.hex_rgb(F.lit("#FF3800")), strict=True)), C.bce(F.lit(800.0), F.lit(1.0)).alias("big")).first()
     assert tuple(r) == ("b c.zip", False, True, 255, 56, 0, 0.0)
+
+
+def test_butterworth_halves_power_at_the_cutoff():
+    import numpy as np
+
+    for order, cutoff in ((1, 0.5), (2, 0.2), (5, 0.06)):
+        b, a = U.butterworth(order, cutoff)
+        at = np.exp(1j * math.pi * cutoff * np.arange(order + 1) * -1)
+        assert math.isclose(abs((b @ at) / (a @ at)), math.sqrt(0.5), rel_tol=1e-6)
+    with pytest.raises(ValueError, match="cutoff"):
+        U.butterworth(2, 1.0)
+
+
+def test_zero_phase_keeps_slow_parts_and_drops_fast_ones(spark):
+    n = 400
+    rows = [(1, i, math.sin(2 * math.pi * i / 100) + 0.5 * (-1) ** i) for i in range(n)] + [(2, i, 3.0) for i in range(5)] + [(3, 0, None)]
+    got = U.zero_phase(spark.createDataFrame(rows, "run_id int, epoch int, fit double"), "fit", 0.2).collect()
+    slow = {r.epoch: r.smooth for r in got if r.run_id == 1}
+    assert len(slow) == n and all(abs(slow[i] - math.sin(2 * math.pi * i / 100)) < 0.01 for i in range(50, n - 50))
+    assert all(math.isclose(r.smooth, 3.0, rel_tol=1e-6) for r in got if r.run_id == 2)
+    assert [r.smooth for r in got if r.run_id == 3] == [0.0]
+
+
+def test_logs_and_statistics(spark, tmp_path):
+    import json
+
+    log = spark.createDataFrame([(1, 0.5), (2, 0.7)], "epoch int, fit double")
+    for _ in range(2):
+        W.append_log(log, str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 4
+    stats = spark.createDataFrame([("a", None, 5, 2, 1), ("a", 1, 2, 1, 0), ("a", 0, 3, 2, 0)], "split string, cls int, instances long, labelled long, unlabelled long")
+    got = json.loads(W.stats_json(stats).first().json)
+    assert got == {"total": {"instances": 5, "labelled": 2, "unlabelled": 1}, "per_class": [{"cls": 0, "instances": 3, "labelled": 2}, {"cls": 1, "instances": 2, "labelled": 1}]}
+
+
+def test_follow_log_writes_each_row_once(spark, tmp_path):
+    source, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    for k in range(2):
+        spark.range(k * 3, k * 3 + 3).write.mode("append").parquet(source)
+        W.follow_log(spark.readStream.schema("id long").parquet(source), out, mark).awaitTermination(60)
+    assert sorted(r.id for r in spark.read.json(out).collect()) == list(range(6))
