@@ -49,12 +49,11 @@ def class_counts(gt: DataFrame) -> DataFrame:
     return gt.groupBy("cls").agg(F.count("*").alias("n_labels"))
 
 
-def curve(flags: DataFrame, counts: DataFrame) -> DataFrame:
-    """cls, thr (0..9), rn, recall, precision, envelope along falling confidence.
+def running(flags: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """cls, b, rn, conf, n_labels, points (thr, hit, tps: hits so far) along falling confidence; and totals by cls and bucket b.
 
     Running sums in two levels: confidence buckets within a class are windows of their own, and a table of bucket totals
-    (classes x BUCKETS rows) carries the sums over; so a class is not one task. The envelope, a maximum towards lower
-    confidence, is a reversed prefix maximum with the same carrying.
+    (classes x BUCKETS rows) carries the sums over; so a class is not one task.
     """
     n = len(THRESHOLDS)
     rows = flags.join(counts, "cls").withColumn("b", F.floor((1 - F.col("conf")) * BUCKETS).cast("int"))
@@ -63,32 +62,46 @@ def curve(flags: DataFrame, counts: DataFrame) -> DataFrame:
     before = Window.partitionBy("cls").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select("cls", "b", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"c_{c}") for c in ("rows", *(f"t{k}" for k in range(n)))))
     run = rows.withColumns({"i": F.count("*").over(inner), **{f"r{k}": F.sum(F.get("tp", F.lit(k))).over(inner) for k in range(n)}}).join(carry, ["cls", "b"])
-    points = F.array(*[F.struct(F.lit(k).alias("thr"), (F.col(f"r{k}") + F.col(f"c_t{k}")).alias("tps")) for k in range(n)])
-    long = run.select("cls", "b", (F.col("i") + F.col("c_rows")).alias("rn"), "conf", "n_labels", F.explode(points).alias("p")).select("*", "p.*").drop("p")
-    long = long.withColumns({"recall": F.col("tps") / F.col("n_labels"), "precision": F.col("tps") / F.col("rn")})
+    points = F.array(*[F.struct(F.lit(k).alias("thr"), F.get("tp", F.lit(k)).alias("hit"), (F.col(f"r{k}") + F.col(f"c_t{k}")).alias("tps")) for k in range(n)])
+    return run.select("cls", "b", (F.col("i") + F.col("c_rows")).alias("rn"), "conf", "n_labels", points.alias("points")), totals
+
+
+def enveloped(long: DataFrame) -> DataFrame:
+    """Adds envelope, the greatest precision from here to lower confidence: a reversed prefix maximum in two levels."""
     back = Window.partitionBy("cls", "thr", "b").orderBy(F.desc("rn")).rowsBetween(Window.unboundedPreceding, 0)
     peaks = long.groupBy("cls", "thr", "b").agg(F.max("precision").alias("peak"))
     after = Window.partitionBy("cls", "thr").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
     tail = peaks.select("cls", "thr", "b", F.max("peak").over(after).alias("tail"))
-    return long.join(tail, ["cls", "thr", "b"]).select("cls", "thr", "rn", "conf", "recall", "precision", F.greatest(F.max("precision").over(back), F.coalesce("tail", F.lit(0.0))).alias("envelope"))
+    return long.join(tail, ["cls", "thr", "b"]).withColumn("envelope", F.greatest(F.max("precision").over(back), F.coalesce("tail", F.lit(0.0)))).drop("tail")
+
+
+def curve(flags: DataFrame, counts: DataFrame) -> DataFrame:
+    """cls, thr (0..9), rn, conf, recall, precision, envelope along falling confidence."""
+    long = running(flags, counts)[0].withColumn("p", F.explode("points")).select("cls", "b", "rn", "conf", "n_labels", "p.*")
+    long = long.withColumns({"recall": F.col("tps") / F.col("n_labels"), "precision": F.col("tps") / F.col("rn")})
+    return enveloped(long).select("cls", "thr", "rn", "conf", "recall", "precision", "envelope")
 
 
 def average_precision(gt: DataFrame, det: DataFrame) -> DataFrame:
-    """cls, thr, ap: the envelope between (0, 1) and (1, 0) sampled at 101 recalls, by the trapezoid rule; 0 without detections."""
-    counts = class_counts(gt)
-    points = curve(flagged(gt, det), counts).select("cls", "thr", "rn", "recall", "envelope")
-    grid = counts.select("cls", F.explode(F.sequence(F.lit(0), F.lit(len(THRESHOLDS) - 1))).alias("thr"))
-    ends = grid.select("cls", "thr", F.explode(F.array(F.struct(F.lit(0).cast("long").alias("rn"), F.lit(0.0).alias("recall"), F.lit(1.0).alias("envelope")), F.struct(F.lit(1 << 62).alias("rn"), F.lit(1.0).alias("recall"), F.lit(0.0).alias("envelope")))).alias("e")).select("cls", "thr", "e.*")
-    # only the first and the last point of a recall bound a segment, so a class is thinned before its one window
-    thin = points.groupBy("cls", "thr", "recall").agg(F.min_by("envelope", "rn").alias("a"), F.max_by("envelope", "rn").alias("z"), F.min("rn").alias("rn0"), F.max("rn").alias("rn1"))
-    two = thin.select("cls", "thr", "recall", F.explode(F.array(F.struct(F.col("rn0").alias("rn"), F.col("a").alias("envelope")), F.struct(F.col("rn1").alias("rn"), F.col("z").alias("envelope")))).alias("p")).select("cls", "thr", "p.rn", "recall", "p.envelope").distinct()
-    w = Window.partitionBy("cls", "thr").orderBy("rn")
-    seg = two.unionByName(ends).select("cls", "thr", "recall", "envelope", F.lead("recall").over(w).alias("r2"), F.lead("envelope").over(w).alias("e2"))
-    seg = seg.withColumns({"k0": F.ceil(F.col("recall") * 100), "k1": F.ceil(F.col("r2") * 100) - 1}).where("k1 >= k0")
+    """cls, thr, ap: the envelope between (0, 1) and (1, 0) sampled at 101 recalls, by the trapezoid rule; 0 without detections.
+
+    Recall rises at hits only, and precision falls from one hit to the next. So hits alone make the envelope, and every
+    hit ends one segment, whose start follows from its own rank and hits; the last segment leads to (1, 0).
+    """
+    n, counts = len(THRESHOLDS), class_counts(gt)
+    run, totals = running(flagged(gt, det), counts)
+    hits = run.withColumn("p", F.explode(F.filter("points", lambda p: p["hit"] == 1))).select("cls", "b", "rn", "n_labels", "p.thr", "p.tps")
+    hits = enveloped(hits.withColumn("precision", F.col("tps") / F.col("rn")))
+    start = F.when(F.col("rn") == 1, 1.0).otherwise(F.greatest((F.col("tps") - 1) / F.greatest(F.col("rn") - 1, F.lit(1)), F.col("envelope")))
+    rising = hits.select("cls", "thr", ((F.col("tps") - 1) / F.col("n_labels")).alias("recall"), start.alias("envelope"), (F.col("tps") / F.col("n_labels")).alias("r2"), F.col("envelope").alias("e2"))
+    whole = totals.groupBy("cls").agg(F.sum("rows").alias("rows"), F.array(*[F.sum(f"t{k}") for k in range(n)]).alias("t")).join(counts, "cls").select("cls", "rows", "n_labels", F.posexplode("t").alias("thr", "t"))
+    last = whole.select("cls", "thr", (F.col("t") / F.col("n_labels")).alias("recall"), (F.col("t") / F.col("rows")).alias("envelope"), F.lit(1.0).alias("r2"), F.lit(0.0).alias("e2"))
+    seg = rising.unionByName(last).withColumns({"k0": F.ceil(F.col("recall") * 100), "k1": F.ceil(F.col("r2") * 100) - 1}).where("k1 >= k0")
     at = seg.select("*", F.explode(F.sequence("k0", "k1")).alias("k"))
     value = F.col("envelope") + (F.col("e2") - F.col("envelope")) * (F.col("k") / 100 - F.col("recall")) / (F.col("r2") - F.col("recall"))
     ap = at.groupBy("cls", "thr").agg((F.sum(value * F.when(F.col("k") == 0, 0.5).otherwise(1.0)) / 100).alias("ap"))
-    return grid.join(ap, ["cls", "thr"], "left").withColumn("ap", F.coalesce("ap", F.lit(0.0))).join(det.select("cls").distinct().withColumn("seen", F.lit(True)), "cls", "left").select("cls", "thr", F.when(F.col("seen"), F.col("ap")).otherwise(0.0).alias("ap"))
+    grid = counts.select("cls", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("thr"))
+    return grid.join(ap, ["cls", "thr"], "left").select("cls", "thr", F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
 def sampled(gt: DataFrame, det: DataFrame, points: int = 1000) -> DataFrame:
