@@ -1,15 +1,22 @@
 """Masked pseudo-likelihood: a bidirectional window network scores documents.
 
-Classes of words: the ``TOP`` most frequent words of the corpus, and ``RARE`` hashed classes for all others. The network
+A word's probability is that of its class given its neighbours, times that of the word within its class. Classes: the
+``TOP`` most frequent words of the corpus, each of its own, and ``RARE`` hashed classes for all others. The network
 adds an embedding for each of the words at distance 1 and 2 on both sides (one table a place), applies tanh, and
-predicts the word between through a softmax. Three passes, each over all documents: exact word counts (packed blocks
-dealt by word hash); training, where every task makes one epoch of Adagrad over its own documents from the same start
-and the corpus model is the mean of the tasks' models weighted by their words; and scoring, where each word is masked
-in turn and the log-probabilities given both sides are summed.
-
-Every word is used in each pass. The model's size does not depend on the corpus; only it and the word list are
-broadcast. Defined results: null and empty texts have 0 words, log_prob 0 and a null mean; ties of frequency go to the
-smaller hash; equal rows score equally; an empty table gives an empty result.
+predicts the class of the word between through a softmax. Within a hashed class a word has its share of the class's
+occurrences in the corpus. So every word of the corpus has a probability of its own, and they sum to one.
+
+Passes, each over all documents: exact word counts (packed blocks dealt by word hash); training, where every task makes
+one epoch of Adagrad over its own documents from the same start and the corpus model is the mean of the tasks' models
+weighted by their words; scoring, where each word is masked in turn and the log-probabilities of the classes given both
+sides are summed; and the words within classes: blocks of documents send their distinct words, dealt by word hash, are
+answered with the corpus counts, and sum the logarithms of the shares for each document.
+
+Every word is used in each pass. The vocabulary grows with the corpus, has no least count, and is never in one place;
+the network does not grow: only it, the TOP words and the RARE class totals are broadcast, and it knows the neighbours
+by their classes. Shares are summed as whole multiples of 1 / ``UNIT``, so that no order of tasks changes a score.
+Defined results: null and empty texts have 0 words, log_prob 0 and a null mean; ties of frequency go to the smaller
+hash; equal rows score equally; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,17 +25,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxwright.llm._repeats import dealt
-from boxwright.llm._shared import documents
+from boxwright.llm._shared import documents, written
 from boxwright.llm._text import U64, chunks, hashes, mix, utf8, words
 
 TOP, RARE, DIM, PLACES, BATCH, RATE = 96, 32, 16, (-2, -1, 1, 2), 4096, 0.08
 V = TOP + RARE
 SHAPES = [(len(PLACES), V + 1, DIM), (DIM, V), (V,)]
-SCORES = "doc_id long, n_words long, log_prob double"
+SCORES = "doc_id long, key long, n_words long, log_prob double"
+UNIT, BLOCK_WORDS = 1 << 24, 2_000_000
+TAILS = "block long, dest int, keys binary, word binary, n binary, docs binary, doc binary, times binary"
 
 
 def _word_hashes(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -182,6 +192,92 @@ def log_probs(model: list[np.ndarray], word: np.ndarray, doc: np.ndarray) -> np.
     return out
 
 
+def _tails(top, dests: int):
+    """Rows of a block of documents and a dest: its words beyond TOP, their counts, and the documents that hold each."""
+
+    def packed(block: int, keys: list[np.ndarray], parts: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
+        word, place = np.unique(np.concatenate(parts), return_inverse=True)
+        to = dealt(word, dests)
+        pair, times = np.unique(place.astype(U64) << U64(32) | np.concatenate(owners).astype(U64), return_counts=True)
+        of, doc = (pair >> U64(32)).astype(np.int64), pair & U64(0xFFFFFFFF)
+        docs, n = np.bincount(of, minlength=len(word)), np.bincount(place, minlength=len(word))
+        cuts, ends = np.searchsorted(to, np.arange(dests + 1)), np.concatenate([[0], np.cumsum(docs)])
+        rows, own = [], np.concatenate(keys).tobytes()
+        for d, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if x < y:
+                at = slice(ends[x], ends[y])
+                rows.append((block, d, own, word[x:y].tobytes(), *(v.astype("<u4").tobytes() for v in (n[x:y], docs[x:y], doc[at], times[at]))))
+                own = b""  # once in a block
+        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 6)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in TAILS.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        keys, parts, owners, size, n = [], [], [], 0, 0
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            for a, b, h, doc in _word_hashes(batch.column("text")):
+                rare = classes(h, top.value) >= TOP
+                keys.append(key[a:b])
+                parts.append(h[rare])
+                owners.append(doc[rare] + n)
+                size, n = size + len(parts[-1]), n + b - a
+                if size > BLOCK_WORDS:
+                    yield packed(block, keys, parts, owners)
+                    block, keys, parts, owners, size, n = block + 1, [], [], [], 0, 0
+        if size:
+            yield packed(block, keys, parts, owners)
+
+    return run
+
+
+def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(RARE, np.int64)
+    for batch in batches:
+        for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
+            total += np.bincount((mix(np.frombuffer(w, U64)) % U64(RARE)).astype(np.int64), np.frombuffer(n, "<u4"), RARE).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(RARE), pa.int32()), pa.array(total)], ["class", "n"])
+
+
+def _shares(total):
+    """For each block the logarithms of its words' shares, in multiples of 1 / UNIT."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x, U64) for x in table.column("word").to_pylist()]
+        word, place = np.unique(np.concatenate(parts), return_inverse=True)
+        n = np.bincount(place, np.concatenate([np.frombuffer(x, "<u4") for x in table.column("n").to_pylist()]))
+        share = np.rint(UNIT * np.log(n / total.value[(mix(word) % U64(RARE)).astype(np.int64)])).astype("<i4")
+        answers = np.split(share[place], np.cumsum([len(x) for x in parts])[:-1])
+        return pa.table({"block": table.column("block"), "dest": table.column("dest"), "share": pa.array([x.tobytes() for x in answers], pa.binary())})
+
+    return run
+
+
+def _gathered(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+    """Sum of the shares of each document in a block."""
+    share = dict(zip(right.column("dest").to_pylist(), right.column("share").to_pylist(), strict=True))
+    keys = np.frombuffer(b"".join(left.column("keys").to_pylist()), "<i8")
+    total = np.zeros(len(keys), np.int64)
+    for dest, *held in zip(*(left.column(c).to_pylist() for c in ("dest", "docs", "doc", "times")), strict=True):
+        docs, doc, times = (np.frombuffer(x, "<u4") for x in held)
+        np.add.at(total, doc, np.repeat(np.frombuffer(share[dest], "<i4").astype(np.int64), docs) * times)
+    return pa.table({"key": pa.array(keys), "within": pa.array(total)})
+
+
+def within_classes(rows: DataFrame, top: np.ndarray) -> DataFrame:
+    """key, within: the sum of log P(word | class) over a text's words, in multiples of 1 / UNIT, from rows of key and text."""
+    context = rows.sparkSession.sparkContext
+    dests = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tails = written(rows.select("key", "text").mapInArrow(_tails(context.broadcast(top), dests), TAILS), "tails")
+    total = np.zeros(RARE)
+    for r in tails.select("word", "n").mapInArrow(_class_counts, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
+        total[r["class"]] = r.n
+    shares = tails.select("block", "dest", "word", "n").groupBy("dest").applyInArrow(_shares(context.broadcast(total)), "block long, dest int, share binary")
+    held = tails.select("block", "dest", "keys", "docs", "doc", "times")
+    sums = held.groupBy("block").cogroup(shares.groupBy("block")).applyInArrow(_gathered, "key long, within long")
+    return sums.groupBy("key").agg(F.first("within").alias("within"))  # equal rows have equal sums
+
+
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, model = shared.value
@@ -191,7 +287,7 @@ def _scorer(shared):
                 word = classes(h, top)
                 n[a:b] = np.bincount(doc, minlength=b - a)
                 score[a:b] = np.bincount(doc, log_probs(model, word, doc), minlength=b - a)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(score)], ["doc_id", "n_words", "log_prob"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(n), pa.array(score)], ["doc_id", "key", "n_words", "log_prob"])
 
     return run
 
@@ -199,11 +295,13 @@ def _scorer(shared):
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, log_prob (sum over words given both sides), mean_log_prob."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     text = rows.select("text")
     top = vocabulary(text)
     shared = docs.sparkSession.sparkContext.broadcast((top, train(text, top)))
-    out = rows.mapInArrow(_scorer(shared), SCORES)
-    return out.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
+    out = rows.mapInArrow(_scorer(shared), SCORES).join(within_classes(rows, top), "key", "left")
+    out = out.withColumn("log_prob", F.col("log_prob") + F.coalesce("within", F.lit(0)) / F.lit(float(UNIT)))
+    return out.select("doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,6 +74,65 @@ def test_scores_beat_unigram(small):
     assert total / n > counts / n - 0.05  # invented words carry little order: no worse than frequencies
 
 
+def test_every_word_has_its_own_probability(spark, docs, monkeypatch):
+    """log_prob is the classes' part plus log(count of the word / count of its class) for every word beyond the top."""
+    from collections import Counter
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(op1_scoring, "BLOCK_WORDS", 500)  # many blocks
+    rows = [*ODD, (15, "never "), (16, "before seen twice twice " * 2), (16, "another text of this doc_id"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    top = op1_scoring.vocabulary(df.select("text"))
+    model = op1_scoring.train(df.select("text"), top)
+    hashed = [[x for _, _, h, _ in op1_scoring._word_hashes(pa.array([t], pa.string())) for x in h.tolist()] for _, t in rows]
+    word = Counter(x for h in hashed for x in h)
+    of = dict(zip(word, op1_scoring.classes(np.array(list(word), np.uint64), top).tolist(), strict=True))
+    total = Counter()
+    for x, n in word.items():
+        total[of[x]] += n
+    assert len(word) > 900 and max(total.values()) < sum(word.values())
+    want = []
+    for (d, _), h in zip(rows, hashed, strict=True):
+        own = op1_scoring.log_probs(model, np.array([of[x] for x in h], np.int64), np.zeros(len(h), np.int64)).sum() if h else 0.0
+        want.append((d, len(h), own + sum(np.log(word[x] / total[of[x]]) for x in h)))
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    got = sorted(((r.doc_id, r.n_words, r.log_prob) for r in op1_scoring.score(df).collect()), key=key)
+    want.sort(key=key)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[2] for r in got], [r[2] for r in want], rtol=1e-4, atol=0.05)
+
+
+def test_scores_gain_over_unigrams(spark):
+    """Held-out text whose words follow from their neighbours: words are predicted better than by their frequencies."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+
+    def text(n):
+        at, out = rng.integers(0, 400, 2), []
+        for k in range(n):
+            at[k % 2] = (at[k % 2] + 1) % 400 if rng.random() < 0.95 else rng.integers(0, 400)
+            out.append(f"w{at[0] // 40}" if k % 2 else f"v{at[0] // 40}x{rng.zipf(1.5) % 1000}")
+        return " ".join(out)
+
+    train, held = [text(1000) for _ in range(300)], [text(1000) for _ in range(30)]
+    df = spark.createDataFrame([(t,) for t in train], "text string").coalesce(1)
+    top = op1_scoring.vocabulary(df)
+    model = op1_scoring.train(df, top)
+    seen = np.concatenate([h for _, _, h, _ in op1_scoring._word_hashes(pa.array(train))])
+    words, counts = np.unique(seen, return_counts=True)
+    total = np.bincount(op1_scoring.classes(words, top), counts, op1_scoring.V)
+    gain = n = 0
+    for _, _, h, doc in op1_scoring._word_hashes(pa.array(held)):
+        word, at = op1_scoring.classes(h, top), np.minimum(np.searchsorted(words, h), len(words) - 1)
+        known = words[at] == h  # a word that the corpus does not hold has no probability from either
+        within = np.log(counts[at] / total[word])
+        model_part, unigram = op1_scoring.log_probs(model, word, doc) + within, np.log(counts[at] / counts.sum())
+        gain, n = gain + (model_part - unigram)[known].sum(), n + known.sum()
+    assert n > 25_000 and gain / n > 0.3
+
+
 def test_records(spark, docs):
     folder = shared_dir(spark, "t")
     path = public_tokenizers.path("byte_bpe_50k.json")
