@@ -6,7 +6,7 @@ share. Sets that picked the same token form a node. Nodes of up to ``SMALL`` set
 sketches (the least hash in each of 128 bins; a pair at the limit passes but for about one in 1e5). Larger nodes whose
 sets are similar to one of them on average are brute-forced as a whole; all others are split again, by tokens sampled
 in the sketch and picked with a hash seeded by the path so far, down to ``DEPTH`` levels. The number of runs follows
-from the target recall. What passes is joined to components by label propagation over nodes. Then every pair of a
+from the target recall, for pairs at the limit of the worst sizes in nodes that are split at every level. What passes is joined to components by label propagation over nodes. Then every pair of a
 component is verified exactly by counting shared tokens, in blocks of ``BLOCK`` sets, so no group is gathered in one
 task and no pair is emitted: a block pair gives link counts and a spanning star.
 
@@ -35,19 +35,32 @@ SMALL, DEPTH, BLOCK, BINS, PASS, DENSE = 128, 6, 1024, 128, 0.64, 0.5
 _STEP = 0x9E3779B97F4A7C15
 
 
-def runs_for(recall: float, limit: float = LIMIT, levels: int = 3) -> int:
-    """Runs after which a pair at the limit has met at the given depth with the target probability.
+def missed(runs: int, levels: int, limit: float = LIMIT) -> float:
+    """Chance that a pair at the limit meets in none of the runs, where its nodes are split down to the given level.
 
-    Equal-sized sets at the limit share 2 / (1 + limit) of their tokens, so a node of both has that many common
-    children on average; the chance that a common path survives follows level by level.
+    A node of both has Poisson many common children; the chance that a common path survives follows level by level. The
+    worst sizes are those of a set that holds the other: at the first level they pick 1 common token on average (sets of
+    equal size 2 / (1 + limit)). Deeper levels pick from the sketches, whose common places are binomial and the same in
+    every run, so the mean is over their number.
     """
-    alive = 1.0
-    for _ in range(levels):
-        alive = 1 - math.exp(-2 / (1 + limit) * alive)
-    return math.ceil(math.log(1 - recall) / math.log(1 - alive))
+    total = 0.0
+    for same in range(BINS + 1):
+        alive = 1.0
+        for _ in range(levels - 1):
+            alive = 1 - math.exp(-2 * same / (BINS * limit * (1 + limit)) * alive)
+        total += math.comb(BINS, same) * limit**same * (1 - limit) ** (BINS - same) * math.exp(-alive) ** runs
+    return total
+
+
+def runs_for(recall: float, levels: int, limit: float = LIMIT) -> int:
+    """Least number of runs that misses no larger share of the pairs at the limit than the target allows."""
+    runs = 1
+    while missed(runs, levels, limit) > 1 - recall:
+        runs += 1
+    return runs
 
 
-RUNS = runs_for(RECALL)
+RUNS = runs_for(RECALL, DEPTH)
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

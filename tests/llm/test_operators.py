@@ -254,6 +254,23 @@ def test_large_near_copies(spark, monkeypatch):
     assert pulled(op7_chosen_path.join(df).select("doc_id", "class_id", "n_links")) == brute.op7(rows)
 
 
+def test_recall_in_deep_nodes(spark, monkeypatch):
+    """Pairs at exactly 0.8, one text the beginning of the other, in nodes that are all split down to the last level."""
+    monkeypatch.setattr(op7_chosen_path, "SMALL", 1)
+    monkeypatch.setattr(op7_chosen_path, "DENSE", 2.0)
+    rows = []
+    for i in range(1200):
+        w = [f"d{i}w{k}" for k in range(129)]
+        rows += [(2 * i, " ".join(w[:104])), (2 * i + 1, " ".join(w))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    links = dict(pulled(op7_chosen_path.join(df).select("doc_id", "n_links")))
+    assert max(links.values()) == 1 and sum(n == 0 for n in links.values()) <= 2  # 1 - RECALL of them: 0.1 pairs
+
+
+def test_runs_follow_from_depth():
+    assert op7_chosen_path.missed(op7_chosen_path.RUNS, op7_chosen_path.DEPTH) <= 1 - op7_chosen_path.RECALL < op7_chosen_path.missed(op7_chosen_path.RUNS - 1, op7_chosen_path.DEPTH)
+
+
 def test_suffixes(spark, docs):
     want = brute.op8([r for r in ODD if r[0] != 7 and r[0] != 8])
     got = op8_suffixes.remove_repeats(docs.where("doc_id IS NULL OR doc_id NOT IN (7, 8)")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
