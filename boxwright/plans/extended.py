@@ -75,6 +75,16 @@ def weighted_draws(spark, sf_dir):
     return P.weighted_draws(weights, "image_id", "weight", 5000)
 
 
+@register(f"""{WITH}, w AS (SELECT image_id, count(*) AS weight FROM gt GROUP BY image_id),
+c AS (SELECT image_id, weight, sum(weight) OVER (ORDER BY {md5_number('draw', 'image_id')}, image_id ROWS UNBOUNDED PRECEDING) AS e FROM w), t AS (SELECT max(e) AS total FROM c),
+d AS (SELECT k AS draw, {md5_number('draw', 'k', 12)} % total AS pos FROM (SELECT unnest(range(n)) AS k FROM (SELECT count(*) AS n FROM w)), t)
+SELECT draw, image_id FROM d JOIN c ON pos >= e - weight AND pos < e""")
+def epoch_draws(spark, sf_dir):
+    """As many draws as images, as an epoch takes."""
+    weights = labels(spark, sf_dir).groupBy("image_id").agg(F.count("*").alias("weight"))
+    return P.weighted_draws(weights, "image_id", "weight", weights.count())
+
+
 @register(f"{WITH} SELECT image_id, det_id, cls FROM det WHERE cls = (cls + CASE WHEN det_id % 3 = 0 THEN 1 ELSE 0 END) % 8")
 def second_stage(spark, sf_dir):
     det = detections(spark, sf_dir)
