@@ -132,6 +132,13 @@ def pr_curve(spark, sf_dir):
     return M.curve(M.flagged(gt, det), M.class_counts(gt)).where("thr IN (0, 5)").select("cls", "thr", "rn", *rounded(["recall", "prec", "envelope"], map(F.col, ("recall", "precision", "envelope"))))
 
 
+@register(f"{WITH}{CURVE} SELECT cls, CAST(thr AS INT) AS thr, CAST(rn AS BIGINT) AS rn, round(recall + 1e-9, 6) AS recall, round(prec + 1e-9, 6) AS prec, round(e + 1e-9, 6) AS envelope FROM env")
+def pr_curves(spark, sf_dir):
+    """The curves of all thresholds."""
+    gt, det = both(spark, sf_dir)
+    return M.curve(M.flagged(gt, det), M.class_counts(gt)).select("cls", "thr", "rn", *rounded(["recall", "prec", "envelope"], map(F.col, ("recall", "precision", "envelope"))))
+
+
 @register(f"{WITH}{AP} SELECT cls, CAST(thr AS INT) AS thr, round(ap + 1e-9, 6) AS ap FROM ap")
 def ap_per_class(spark, sf_dir):
     return M.average_precision(*both(spark, sf_dir)).select("cls", "thr", F.round(F.col("ap") + 1e-9, 6).alias("ap"))
