@@ -4,11 +4,12 @@ Documents with equal shingle sets are one class; only classes take part. In each
 whose hash, seeded by the run, is below 1 / (0.8 x its size), so two similar sets are likely to pick a token that they
 share. Sets that picked the same token form a node. Nodes of up to ``SMALL`` sets are compared by brute force on
 sketches (the least hash in each of 128 bins; a pair at the limit passes but for about one in 1e5). Larger nodes whose
-sets are similar to one of them on average are brute-forced as a whole; all others are split again, by tokens sampled
+sets are similar to one of them on average are kept as a whole; all others are split again, by tokens sampled
 in the sketch and picked with a hash seeded by the path so far, down to ``DEPTH`` levels. The number of runs follows
-from the target recall, for pairs at the limit of the worst sizes in nodes that are split at every level. What passes is joined to components by label propagation over nodes. Then every pair of a
-component is verified exactly by counting shared tokens, in blocks of ``BLOCK`` sets, so no group is gathered in one
-task and no pair is emitted: a block pair gives link counts and a spanning star.
+from the target recall, for pairs at the limit of the worst sizes in nodes that are split at every level. The first runs
+connect large groups, and in all later ones a node whose sets are connected already is skipped. What passes is joined
+to components by label propagation over nodes, and the links of every component are counted exactly (see
+verified_links): no group is gathered in one task, and no pair is emitted.
 
 Result of join(): doc_id, class_id (least doc_id of the connected component of links), copy_id (least doc_id with an
 equal set), n_links (documents linked to this one, copies included), n_class_links (linked classes with another set).
@@ -32,6 +33,8 @@ from boxwright.llm._text import U64, chunks, hashes, mix, rolling, utf8, words
 
 K, LIMIT, RECALL = 5, 0.8, 0.9999
 SMALL, DEPTH, BLOCK, BINS, PASS, DENSE = 128, 6, 1024, 128, 0.64, 0.5
+#: Runs of the first phase, which connect large groups; members whose tokens elect the centre of a group, on average.
+FIRST, ELECTORS = 3, 32
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -124,16 +127,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             token, own = shingle_sets(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
             sizes = np.diff(own)
             owner = np.repeat(np.arange(b - a), sizes)
-            docs, keys = [], []
-            for r in range(RUNS):
-                at, key = picked(token, owner, sizes, mix(np.array([r + 1], U64))[0])
-                docs.append(owner[at])
-                keys.append(key)
-            docs, keys = np.concatenate(docs), np.concatenate(keys)
-            order = np.argsort(docs, kind="stable")
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=b - a))]).astype(np.int32), pa.array(keys[order].view(np.int64)))
+            lists = []
+            for runs in (range(FIRST), range(FIRST, RUNS)):
+                got = [picked(token, owner, sizes, mix(np.array([r + 1], U64))[0]) for r in runs]
+                docs, keys = np.concatenate([owner[at] for at, _ in got]), np.concatenate([key for _, key in got])
+                order = np.argsort(docs, kind="stable")
+                lists.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=b - a))]).astype(np.int32), pa.array(keys[order].view(np.int64))))
             fp, sketch = (pa.array([x.tobytes() for x in y], pa.binary()) for y in (fingerprints(token, own), sketches(token, owner, b - a)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), fp, lists, sketch], ["doc_id", "th", "fp", "keys", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), fp, *lists, sketch], ["doc_id", "th", "fp", "keys", "later", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,14 +144,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             token, own = shingle_sets(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
             fps = [x.tobytes() for x in fingerprints(token, own)]
             sets = [token[own[i] : own[i + 1]].tobytes() for i in range(b - a)]
-            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(sets, pa.binary())], ["fp", "tokens"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("label", "size", "n")), pa.array(fps, pa.binary()), pa.array(sets, pa.binary())], ["label", "size", "n", "fp", "tokens"])
 
 
 def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Next level of the given nodes of each set, by the tokens that its sketch holds."""
     for batch in batches:
-        fps, drawn, keys = [], [], []
-        for fp, sketch, nodes in zip(*(batch.column(c).to_pylist() for c in ("fp", "sketch", "keys")), strict=True):
+        fps, labels, drawn, keys = [], [], [], []
+        for fp, label, sketch, nodes in zip(*(batch.column(c).to_pylist() for c in ("fp", "label", "sketch", "keys")), strict=True):
             values = np.frombuffer(sketch, "<u2")
             bins = np.flatnonzero(values != 0xFFFF)
             token = mix(bins.astype(U64) << U64(16) | values[bins].astype(U64))
@@ -158,9 +159,10 @@ def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # a sketch shares fewer of its places than a set its tokens, so it picks 2 / (1 + LIMIT) times as many
                 _, key = picked(token, np.zeros(len(token), np.int64), np.array([len(token) * (1 + LIMIT) / 2]), mix(np.array([v]))[0])
                 fps += [fp] * len(key)
+                labels += [label] * len(key)
                 drawn += [sketch] * len(key)
                 keys.append(key)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()), pa.array(fps, pa.binary()), pa.array(drawn, pa.binary())], ["key", "fp", "sketch"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()), *(pa.array(x, pa.binary()) for x in (fps, labels, drawn))], ["key", "fp", "label", "sketch"])
 
 
 def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -229,12 +231,87 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int =
     return total
 
 
+def _center(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The tokens that more than half of the electors hold; any set would do, a near one leaves little to compare."""
+    sets = [np.frombuffer(x, U64) for x in table.column("tokens").to_pylist()]
+    token, n = np.unique(np.concatenate(sets), return_counts=True)
+    return pa.table({"label": pa.array([key[0].as_py()], pa.binary()), "center": pa.array([token[2 * n > len(sets)].tobytes()], pa.binary())})
+
+
+DIFFS = "label binary, fp binary, n long, base long, gone long, extra long, tokens binary"
+
+
+def _diffs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each set as what it lacks (gone) and has beyond (extra) its group's centre of base tokens."""
+    for batch in batches:
+        made = []
+        for tokens, center in zip(batch.column("tokens").to_pylist(), batch.column("center").to_pylist(), strict=True):
+            x, c = np.frombuffer(tokens, U64), np.frombuffer(center or b"", U64)
+            minus, plus = np.setdiff1d(c, x, assume_unique=True), np.setdiff1d(x, c, assume_unique=True)
+            made.append((len(c), len(minus), len(plus), np.concatenate([minus, plus]).tobytes()))
+        cols = list(zip(*made, strict=True)) if made else [[]] * 4
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("label", "fp", "n")), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())], [x.split()[0] for x in DIFFS.split(", ")])
+
+
+def _links(shared: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of a and b tokens that share so many are similar."""
+    return shared * (1 + LIMIT) >= LIMIT * (a + b) - 1e-6
+
+
+SETTLED = "label binary, gone long, extra long, classes long, docs long, own boolean, root binary, first int, blocks int, partners array<int>"
+
+
+def _settle(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """What sizes alone decide in one group; a row of table is a kind: the sets with equal (gone, extra).
+
+    Two sets share at least base - gone - gone' tokens and at most base - max(gone, gone') + min(extra, extra'). The
+    least is enough exactly if weight + weight' <= (1 - LIMIT) x base, with weight = gone + LIMIT x extra: so links of
+    this sort are counted by a prefix sum over ascending weights, and all that have any are linked to the lightest set.
+    Kinds are dealt to blocks of about BLOCK sets by weight; partners are the blocks with an open pair of kinds, where
+    the least is not enough and the most is.
+    """
+    table = table.sort_by([("gone", "ascending"), ("extra", "ascending")])
+    gone, extra, kinds, docs = (np.asarray(table.column(c)) for c in ("gone", "extra", "kinds", "docs"))
+    base, heads = int(table.column("base")[0].as_py()), table.column("head").to_pylist()
+    weight = gone + LIMIT * extra
+    order = np.argsort(weight, kind="stable")
+    room = (1 - LIMIT) * base + 1e-6
+    upto = np.searchsorted(weight[order], room - weight, "right")
+    n_kinds, n_docs = (np.concatenate([[0], np.cumsum(x[order])]) for x in (kinds, docs))
+    own = 2 * weight <= room
+    light = order[0]
+    joined = weight + weight[light] <= room
+    root = [heads[light] if j else None for j in joined]
+    # blocks: light kinds share one, a kind of more than BLOCK sets has some of its own
+    first, blocks = np.zeros(len(order), np.int64), np.ones(len(order), np.int64)
+    at, filled = -1, BLOCK
+    for k in order.tolist():
+        blocks[k] = -(-int(kinds[k]) // BLOCK)
+        if blocks[k] > 1 or filled + kinds[k] > BLOCK:
+            at, filled = at + 1, 0
+        first[k] = at
+        at += int(blocks[k]) - 1
+        filled = BLOCK if blocks[k] > 1 else filled + int(kinds[k])
+    size = base - gone + extra
+    partners: list[set] = [set() for _ in order]
+    for k in range(len(order)):
+        most = base - np.maximum(gone[k], gone) + np.minimum(extra[k], extra)
+        open_ = _links(most, size[k], size) & (weight[k] + weight > room)
+        open_[k] &= kinds[k] > 1
+        for j in np.flatnonzero(open_).tolist():
+            partners[k].update(range(int(first[j]), int(first[j] + blocks[j])))
+    return pa.table({
+        "label": pa.array([key[0].as_py()] * len(order), pa.binary()), "gone": gone, "extra": extra, "classes": n_kinds[upto], "docs": n_docs[upto], "own": own,
+        "root": pa.array(root, pa.binary()), "first": pa.array(first, pa.int32()), "blocks": pa.array(blocks, pa.int32()), "partners": pa.array([sorted(p) for p in partners], pa.list_(pa.int32())),
+    })
+
+
 def _verify(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Exact links of the block pairs in one unit of work: per set its linked classes and documents, and a star's root."""
+    """Exact links, but for those that sizes settle, of the block pairs in one unit of work: per set its linked classes
+    and documents, and a star's root."""
     out: tuple[list, ...] = ([], [], [], [])
-    rows = table.to_pylist()
     groups: dict = {}
-    for r in rows:
+    for r in table.to_pylist():
         groups.setdefault((r["comp"], r["bi"], r["bj"]), []).append(r)
     for (_, bi, bj), members in groups.items():
         members = sorted({r["fp"]: r for r in members}.values(), key=lambda r: r["fp"])  # a set once, though its row repeats
@@ -243,9 +320,13 @@ def _verify(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         if not rights or not lefts:
             continue
         sets = [[np.frombuffer(r["tokens"], U64) for r in side] for side in ((lefts,) if bi == bj else (lefts, rights))]
-        shared = shared_counts(sets[0], sets[-1])
-        n = [np.array([len(x) for x in s], np.float32) for s in (sets[0], sets[-1])]
-        linked = shared >= np.float32(LIMIT) * (n[0][:, None] + n[1][None, :] - shared) - 1e-3
+        base = lefts[0]["base"]
+        gone, extra = ([np.array([r[c] for r in side], np.float64) for side in (lefts, rights)] for c in ("gone", "extra"))
+        # tokens of the centre are only in lists of what is gone, all others only in lists of what is extra
+        least = base - gone[0][:, None] - gone[1][None, :]
+        weight = [g + LIMIT * e for g, e in zip(gone, extra, strict=True)]
+        linked = _links(least + shared_counts(sets[0], sets[-1]), (base - gone[0] + extra[0])[:, None], (base - gone[1] + extra[1])[None, :])
+        linked &= weight[0][:, None] + weight[1][None, :] > (1 - LIMIT) * base + 1e-6
         if bi == bj:
             np.fill_diagonal(linked, False)
         a, b = np.nonzero(linked)
@@ -292,20 +373,14 @@ def components(edges: DataFrame) -> DataFrame:
     return low.join(named, "low", "left").select("fp", F.coalesce("label", "low").alias("label"))
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """See the module; also th, the text's hash, which tells rows with equal doc_id apart."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
-    signed = written(text.mapInArrow(_sign, "doc_id long, th long, fp binary, keys array<bigint>, sketch binary"), "signed")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
-    classes = written(signed.groupBy("fp").agg(least.alias("rep"), F.count("*").alias("n"), F.min("keys").alias("keys"), F.min("sketch").alias("sketch")), "classes")
-
-    nodes = classes.select(F.explode("keys").alias("key"), "fp")
+def candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """Stars (hub, fp) of the sets that meet, from nodes of key, fp and label; nodes of one label only add nothing."""
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stars, alike = None, F.pandas_udf(_alike, "double")
     for depth in range(1, DEPTH + 1):
         hub = F.min("fp" if depth == 1 else F.struct("fp", "sketch"))
-        sizes = nodes.groupBy("key").agg(F.count("*").alias("size"), hub.alias("h")).where("size > 1")
+        sizes = nodes.groupBy("key").agg(F.count("*").alias("size"), hub.alias("h"), F.min("label").alias("low"), F.max("label").alias("high"))
+        sizes = sizes.where("size > 1 AND low <> high").drop("low", "high")
         met = nodes.join(sizes, "key")
         if depth == 1:  # sketches come after the nodes of one set are gone; deeper nodes bring theirs along
             met = met.withColumn("hub", F.col("h")).join(classes.select("fp", "sketch"), "fp")
@@ -318,35 +393,71 @@ def join(docs: DataFrame) -> DataFrame:
         large = met.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
-        if depth == 1:
-            large = large.join(classes.select(F.col("fp").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
+        if depth == 1:  # one row a node goes to the sketches of the hubs
+            heads = large.select("key", "hub").distinct().join(classes.select(F.col("fp").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
+            large = large.join(heads.drop("hub"), "key")
         near = large.withColumn("alike", alike("sketch", "hub_sketch")).groupBy("key").agg(F.avg("alike").alias("alike"))
-        large = large.join(near.where(F.col("alike") >= DENSE).select("key", F.lit(True).alias("dense")), "key", "left")
-        large = written(large.select("key", "fp", "hub", "sketch", (F.coalesce("dense", F.lit(False)) | F.lit(depth == DEPTH)).alias("dense")), "large")
+        large = met.where(F.col("size") > SMALL).join(near, "key")
+        large = written(large.select("key", "fp", "label", "hub", "sketch", ((F.col("alike") >= DENSE) | F.lit(depth == DEPTH)).alias("dense")), "large")
         stars = stars.unionByName(large.where("dense").select("hub", "fp"))
         if depth == DEPTH or large.where("NOT dense").isEmpty():
             break
-        grown = large.where("NOT dense").groupBy("fp").agg(F.collect_list("key").alias("keys"), F.min("sketch").alias("sketch"))
-        nodes = written(grown.mapInArrow(_children, "key long, fp binary, sketch binary"), "nodes")
+        grown = large.where("NOT dense").groupBy("fp").agg(F.collect_list("key").alias("keys"), F.min("label").alias("label"), F.min("sketch").alias("sketch"))
+        nodes = written(grown.mapInArrow(_children, "key long, fp binary, label binary, sketch binary"), "nodes")
+    return stars
+
+
+def verified_links(member: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fp, classes, docs) to be summed, and the links' stars (hub, fp), of rows of label, size, fp, n and tokens.
+
+    Groups of up to BLOCK sets are compared by brute force. In larger ones each set is told by its difference from the
+    group's centre: sizes settle most pairs in bulk (see _settle), and only blocks with open pairs are compared, by the
+    differences. Any centre gives the same result, so its electors may be few.
+    """
+    parts = int(member.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = member.where(F.col("size") <= BLOCK).select(F.col("label").alias("comp"), "fp", "n", "tokens", *(F.lit(0).cast("long").alias(c) for c in ("base", "gone")), (F.octet_length("tokens") / 8).cast("long").alias("extra"), *(F.lit(0).alias(c) for c in ("block", "bi", "bj")))
+    work = whole.withColumn("unit", F.pmod(F.xxhash64("comp"), F.lit(8 * parts)))
+    large = member.where(F.col("size") > BLOCK).dropDuplicates(["fp"])  # equal rows of docs give equal sets
+    bulk = None
+    if not large.isEmpty():
+        voters = large.where(F.pmod(F.xxhash64("fp"), F.ceil(F.col("size") / F.lit(ELECTORS))) == 0)
+        centers = written(voters.select("label", "tokens").groupBy("label").applyInArrow(_center, "label binary, center binary"), "centers")
+        diffs = written(large.join(centers, "label", "left").select("label", "fp", "n", "tokens", "center").mapInArrow(_diffs, DIFFS), "diffs")
+        kinds = diffs.groupBy("label", "gone", "extra").agg(F.count("*").alias("kinds"), F.sum("n").alias("docs"), F.min("fp").alias("head"), F.min("base").alias("base"))
+        settled = written(kinds.groupBy("label").applyInArrow(_settle, SETTLED), "settled")
+        told = written(diffs.drop("tokens").join(settled, ["label", "gone", "extra"]), "told")
+        own = F.col("own").cast("long")
+        bulk = told.where("root IS NOT NULL").select("fp", (F.col("classes") - own).alias("classes"), (F.col("docs") - own * F.col("n")).alias("docs"), "root")
+        block = (F.col("first") + F.pmod(F.xxhash64("fp"), F.col("blocks"))).cast("int")
+        pairs = told.where(F.size("partners") > 0).select("fp", block.alias("block"), F.explode("partners").alias("other"))
+        open_ = diffs.join(pairs, "fp").select(F.col("label").alias("comp"), "fp", "n", "tokens", "base", "gone", "extra", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
+        work = work.unionByName(open_.withColumn("unit", F.xxhash64("comp", "bi", "bj")))
+    every = written(work.groupBy("unit").applyInArrow(_verify, "fp binary, classes long, docs long, root binary"), "verified")
+    every = every if bulk is None else every.unionByName(bulk)
+    return every.select("fp", "classes", "docs"), every.select(F.col("root").alias("hub"), "fp")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """See the module; also th, the text's hash, which tells rows with equal doc_id apart."""
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
+    signed = written(text.mapInArrow(_sign, "doc_id long, th long, fp binary, keys array<bigint>, later array<bigint>, sketch binary"), "signed")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
+    classes = written(signed.groupBy("fp").agg(least.alias("rep"), F.count("*").alias("n"), *(F.min(c).alias(c) for c in ("keys", "later", "sketch"))), "classes")
+
+    # the first runs connect large groups; what lies in one group already need not meet again
+    stars = candidates(classes.select(F.explode("keys").alias("key"), "fp", F.col("fp").alias("label")), classes)
     comps = written(components(stars), "comps")
-    wanted = comps.join(classes, "fp").select(F.col("rep.doc_id").alias("__d"), F.col("rep.th").alias("__t"))
-    chosen = text.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("th") == F.col("__t")), "left_semi")
-    sets = chosen.select("text").mapInArrow(_sets, "fp binary, tokens binary")
-
-    sizes = comps.groupBy("label").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    member = comps.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    member = member.join(classes.select("fp", "n"), "fp").join(sets, "fp")
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    work = member.withColumn("other", F.explode(other)).select(F.col("label").alias("comp"), "fp", "tokens", "n", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "blocks")
-    unit = F.when(F.col("blocks") > 1, F.xxhash64("comp", "bi", "bj")).otherwise(F.pmod(F.xxhash64("comp"), F.lit(8 * parts)))
-    verified = written(work.withColumn("unit", unit).groupBy("unit").applyInArrow(_verify, "fp binary, classes long, docs long, root binary"), "verified")
-    split = sizes.where("blocks > 1").join(comps, "label").select("fp")
-    stars = verified.select(F.col("root").alias("hub"), "fp")
-    if split.isEmpty():
-        group = stars.select("fp", F.col("hub").alias("label"))
-    else:
-        group = components(stars)
-    links = verified.groupBy("fp").agg(F.sum("classes").alias("classes"), F.sum("docs").alias("docs"))
+    named = classes.select("fp", "later").join(comps, "fp", "left").select(F.explode("later").alias("key"), "fp", F.coalesce("label", "fp").alias("label"))
+    stars = candidates(named, classes).unionByName(comps.select(F.col("label").alias("hub"), "fp"))
+    comps = written(components(stars), "comps")
+
+    sizes = comps.groupBy("label").agg(F.count("*").alias("size")).where("size > 1")
+    wanted = comps.join(sizes, "label").join(classes.select("fp", "rep", "n"), "fp").select("label", "size", F.col("n"), F.col("rep.doc_id").alias("__d"), F.col("rep.th").alias("__t"))
+    chosen = text.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("th") == F.col("__t")))
+    member = written(chosen.select("label", "size", "n", "text").mapInArrow(_sets, "label binary, size long, n long, fp binary, tokens binary"), "members")
+    counts, stars = verified_links(member)
+    group = written(components(stars), "groups")
+    links = counts.groupBy("fp").agg(F.sum("classes").alias("classes"), F.sum("docs").alias("docs"))
 
     joined = classes.select("fp", "rep", "n").join(links, "fp", "left").join(group, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     head = joined.groupBy("label").agg(F.min("rep").alias("head"))
@@ -359,8 +470,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each connected component stays, that of the least doc_id."""
-    found = join(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("th") == F.col("class_th"))).select(F.col("doc_id").alias("__d"), F.col("th").alias("__t"))
-    marked = docs.withColumn("__h", F.xxhash64(F.col("text").cast("string")))
-    kept = marked.join(found, marked["doc_id"].eqNullSafe(F.col("__d")) & (F.col("__h") == F.col("__t")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__h"]).drop("__h")
+    """One document of each connected component stays, that of the least doc_id; all columns, whatever their names."""
+    found = join(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("th") == F.col("class_th"))).select("doc_id", "th")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.struct(*docs.columns).alias("row"))
+    kept = rows.join(found.select(F.col("doc_id").alias("kept_id"), F.col("th").alias("kept_th")), F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("th") == F.col("kept_th")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "th"]).select("row.*")
