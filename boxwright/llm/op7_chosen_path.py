@@ -4,8 +4,8 @@ Documents with equal shingle sets are one class; only classes take part. In each
 whose hash, seeded by the run, is below 1 / (0.8 x its size), so two similar sets are likely to pick a token that they
 share. Sets that picked the same token form a node. Nodes of up to ``SMALL`` sets are compared by brute force on
 sketches (the least hash in each of 128 bins; a pair at the limit passes but for about one in 1e5). Larger nodes whose
-sets are similar to one of them on average are kept as a whole; all others are split again, by tokens sampled
-in the sketch and picked with a hash seeded by the path so far, down to ``DEPTH`` levels. The number of runs follows
+sets are similar to one of them on average (judged on a sample) are kept as a whole; all others are split again, by tokens sampled
+in the sketch, of those that the node does not agree on, and picked with a hash seeded by the path so far, down to ``DEPTH`` levels. The number of runs follows
 from the target recall, for pairs at the limit of the worst sizes in nodes that are split at every level. The first runs
 connect large groups, and in all later ones a node whose sets are connected already is skipped. What passes is joined
 to components by label propagation over nodes, and the links of every component are counted exactly (see
@@ -23,7 +23,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +32,11 @@ from boxwright.llm._text import U64, chunks, hashes, mix, rolling, utf8, words
 
 K, LIMIT, RECALL = 5, 0.8, 0.9999
 SMALL, DEPTH, BLOCK, BINS, PASS, DENSE = 128, 6, 1024, 128, 0.64, 0.5
-#: Runs of the first phase, which connect large groups; members whose tokens elect the centre of a group, on average.
-FIRST, ELECTORS = 3, 32
+#: Runs of the first phase, which connect large groups; members whose tokens elect the centre of a group, on average;
+#: share of a sketch's places that must differ from what its node agrees on, for a set to be split by these alone.
+FIRST, ELECTORS, APART = 3, 32, 0.75
+#: A large node is judged by a hash sample of its members: one in COARSE, and of those about JUDGES at most.
+COARSE, JUDGES = 16, 64
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -44,13 +46,14 @@ def missed(runs: int, levels: int, limit: float = LIMIT) -> float:
     A node of both has Poisson many common children; the chance that a common path survives follows level by level. The
     worst sizes are those of a set that holds the other: at the first level they pick 1 common token on average (sets of
     equal size 2 / (1 + limit)). Deeper levels pick from the sketches, whose common places are binomial and the same in
-    every run, so the mean is over their number.
+    every run, so the mean is over their number; at worst only the share APART of the places is picked from, and all
+    places that are not common are among them (see _children).
     """
     total = 0.0
     for same in range(BINS + 1):
         alive = 1.0
         for _ in range(levels - 1):
-            alive = 1 - math.exp(-2 * same / (BINS * limit * (1 + limit)) * alive)
+            alive = 1 - math.exp(-2 / (1 + limit) * max(0.0, same - (1 - APART) * BINS) / ((limit - 1 + APART) * BINS) * alive)
         total += math.comb(BINS, same) * limit**same * (1 - limit) ** (BINS - same) * math.exp(-alive) ** runs
     return total
 
@@ -148,26 +151,44 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Next level of the given nodes of each set, by the tokens that its sketch holds."""
+    """Next level of the node of each set, by the tokens that its sketch holds.
+
+    Tokens that most of the node's sets hold (a passage, a template) split nothing. So where a set's sketch differs from
+    what the node agrees on in APART of its places or more, it picks from these alone, and a set near that share from
+    both: two sets at the limit differ in 1 - LIMIT of all places, so they still share enough of those, and the rate
+    rises accordingly. A sketch shares fewer of its places than a set its tokens, so it picks 2 / (1 + LIMIT) times as many.
+    """
     for batch in batches:
-        fps, labels, drawn, keys = [], [], [], []
-        for fp, label, sketch, nodes in zip(*(batch.column(c).to_pylist() for c in ("fp", "label", "sketch", "keys")), strict=True):
-            values = np.frombuffer(sketch, "<u2")
-            bins = np.flatnonzero(values != 0xFFFF)
-            token = mix(bins.astype(U64) << U64(16) | values[bins].astype(U64))
-            for v in np.array(nodes, np.int64).view(U64):
-                # a sketch shares fewer of its places than a set its tokens, so it picks 2 / (1 + LIMIT) times as many
-                _, key = picked(token, np.zeros(len(token), np.int64), np.array([len(token) * (1 + LIMIT) / 2]), mix(np.array([v]))[0])
-                fps += [fp] * len(key)
-                labels += [label] * len(key)
-                drawn += [sketch] * len(key)
-                keys.append(key)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()), *(pa.array(x, pa.binary()) for x in (fps, labels, drawn))], ["key", "fp", "label", "sketch"])
-
-
-def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
-    x, y = (np.frombuffer(b"".join(s), "<u2").reshape(len(s), BINS) for s in (a, b))
-    return pd.Series(similarity(x, y))
+        n = len(batch)
+        node = batch.column("key").to_numpy().view(U64)
+        value, agreed = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(n, BINS) for c in ("sketch", "agreed"))
+        held = value != 0xFFFF
+        apart = held & (value != agreed)
+        total, own = np.maximum(held.sum(1), 1), apart.sum(1)
+        token = mix(np.arange(BINS, dtype=U64) << U64(16) | value.astype(U64))
+        h = mix(token ^ mix(node)[:, None])
+        rate = 2 / (1 + LIMIT) / np.maximum(LIMIT * total, 1.3)
+        high = 2 / (1 + LIMIT) / np.maximum(own - (1 - LIMIT) * total, 1.3)
+        alone, both = own >= APART * total, own >= (APART - 1.6 * (1 - LIMIT)) * total
+        share = h.astype(np.float64) / 2.0**64
+        row, at = np.nonzero((held & ~alone[:, None] & (share < rate[:, None])) | (apart & both[:, None] & (share < high[:, None])))
+        rows = pa.array(row)
+        yield pa.RecordBatch.from_arrays([pa.array(mix(h[row, at] + U64(_STEP)).view(np.int64)), *(batch.column(c).take(rows) for c in ("fp", "label", "sketch"))], ["key", "fp", "label", "sketch"])
+
+
+def _judged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Of each node in the unit: how alike the judges' sketches are to its hub's, and the values that most of them hold."""
+    table = table.sort_by([("key", "ascending"), ("fp", "ascending")])
+    node = table.column("key").to_numpy()
+    mine, hub = (np.frombuffer(b"".join(table.column(c).to_pylist()), "<u2").reshape(len(node), BINS) for c in ("sketch", "hub_sketch"))
+    first = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if len(node) else np.zeros(0, int)
+    alike, agreed = [], []
+    for x, y in zip(first, np.append(first[1:], len(node)), strict=True):
+        alike.append(float(similarity(mine[x:y], hub[x:y]).mean()))
+        ranked = np.sort(mine[x:y], axis=0)
+        middle = ranked[(y - x) // 2]  # a value that more than half hold is the median
+        agreed.append(np.where(2 * (ranked == middle).sum(0) > y - x, middle, 0xFFFF).astype("<u2").tobytes())
+    return pa.table({"key": node[first], "alike": pa.array(alike, pa.float64()), "agreed": pa.array(agreed, pa.binary())})
 
 
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -375,35 +396,35 @@ def components(edges: DataFrame) -> DataFrame:
 
 def candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """Stars (hub, fp) of the sets that meet, from nodes of key, fp and label; nodes of one label only add nothing."""
-    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stars, alike = None, F.pandas_udf(_alike, "double")
+    spark = nodes.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stars, sketched = None, classes.select("fp", "sketch")
     for depth in range(1, DEPTH + 1):
-        hub = F.min("fp" if depth == 1 else F.struct("fp", "sketch"))
-        sizes = nodes.groupBy("key").agg(F.count("*").alias("size"), hub.alias("h"), F.min("label").alias("low"), F.max("label").alias("high"))
-        sizes = sizes.where("size > 1 AND low <> high").drop("low", "high")
+        sizes = nodes.groupBy("key").agg(F.count("*").alias("size"), F.min("fp").alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"))
+        sizes = written(sizes.where("size > 1 AND low <> high").drop("low", "high"), "sizes")
         met = nodes.join(sizes, "key")
         if depth == 1:  # sketches come after the nodes of one set are gone; deeper nodes bring theirs along
-            met = met.withColumn("hub", F.col("h")).join(classes.select("fp", "sketch"), "fp")
-        else:
-            met = met.withColumns({"hub": F.col("h.fp"), "hub_sketch": F.col("h.sketch")})
-        met = written(met.drop("h"), "met")
+            met = met.join(sketched, "fp")
+        met = written(met, "met")
         unit = F.pmod(F.xxhash64("key"), F.lit(4 * parts)).alias("unit")
         small = met.where(F.col("size") <= SMALL).select("key", "fp", "sketch").groupBy(unit).applyInArrow(_filter, "hub binary, fp binary")
         stars = small if stars is None else stars.unionByName(small)
-        large = met.where(F.col("size") > SMALL)
-        if large.isEmpty():
+        heads = sizes.where(F.col("size") > SMALL)
+        if heads.isEmpty():
             break
-        if depth == 1:  # one row a node goes to the sketches of the hubs
-            heads = large.select("key", "hub").distinct().join(classes.select(F.col("fp").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
-            large = large.join(heads.drop("hub"), "key")
-        near = large.withColumn("alike", alike("sketch", "hub_sketch")).groupBy("key").agg(F.avg("alike").alias("alike"))
-        large = met.where(F.col("size") > SMALL).join(near, "key")
-        large = written(large.select("key", "fp", "label", "hub", "sketch", ((F.col("alike") >= DENSE) | F.lit(depth == DEPTH)).alias("dense")), "large")
+        # one row a node fetches the hub's sketch; a bounded sample of its members judges the node
+        heads = heads.join(sketched.select(F.col("fp").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub").select("key", "hub_sketch")
+        turn = F.pmod(F.xxhash64("fp", "key"), F.lit(1 << 30))
+        some = met.where((F.col("size") > SMALL) & (turn % COARSE == 0))
+        some = some.where(F.floor(turn / COARSE) % F.ceil(F.col("size") / F.lit(COARSE * JUDGES)) == 0)
+        marks = written(some.join(heads, "key").select("key", "fp", "sketch", "hub_sketch").groupBy(unit).applyInArrow(_judged, "key long, alike double, agreed binary"), "marks")
+        large = met.where(F.col("size") > SMALL).join(marks, "key", "left")
+        none = F.lit(b"\xff" * (2 * BINS))
+        large = written(large.select("key", "fp", "label", "hub", "sketch", F.coalesce("agreed", none).alias("agreed"), ((F.coalesce("alike", F.lit(0.0)) >= DENSE) | F.lit(depth == DEPTH)).alias("dense")), "large")
         stars = stars.unionByName(large.where("dense").select("hub", "fp"))
         if depth == DEPTH or large.where("NOT dense").isEmpty():
             break
-        grown = large.where("NOT dense").groupBy("fp").agg(F.collect_list("key").alias("keys"), F.min("label").alias("label"), F.min("sketch").alias("sketch"))
-        nodes = written(grown.mapInArrow(_children, "key long, fp binary, label binary, sketch binary"), "nodes")
+        nodes = written(large.where("NOT dense").select("key", "fp", "label", "sketch", "agreed").mapInArrow(_children, "key long, fp binary, label binary, sketch binary"), "nodes")
     return stars
 
 
