@@ -33,8 +33,9 @@ from boxwright.llm._text import U64, chunks, hashes, mix, rolling, utf8, words
 K, LIMIT, RECALL = 5, 0.8, 0.9999
 SMALL, DEPTH, BLOCK, BINS, PASS, DENSE = 128, 6, 1024, 128, 0.64, 0.5
 #: Runs of the first phase, which connect large groups; members whose tokens elect the centre of a group, on average;
-#: share of a sketch's places that must differ from what its node agrees on, for a set to be split by these alone.
-FIRST, ELECTORS, APART = 3, 32, 0.75
+#: share of a sketch's places that must differ from what its node agrees on, for a set to be split by these alone; how far
+#: below LIMIT the share of common places in two sketches is taken to be, as it varies.
+FIRST, ELECTORS, APART, MARGIN = 9, 32, 0.6, 0.07
 #: A large node is judged by a hash sample of its members: one in COARSE, and of those about JUDGES at most.
 COARSE, JUDGES = 16, 64
 _STEP = 0x9E3779B97F4A7C15
@@ -53,7 +54,7 @@ def missed(runs: int, levels: int, limit: float = LIMIT) -> float:
     for same in range(BINS + 1):
         alive = 1.0
         for _ in range(levels - 1):
-            alive = 1 - math.exp(-2 / (1 + limit) * max(0.0, same - (1 - APART) * BINS) / ((limit - 1 + APART) * BINS) * alive)
+            alive = 1 - math.exp(-2 / (1 + limit) * max(0.0, same - (1 - APART) * BINS) / ((limit - MARGIN - 1 + APART) * BINS) * alive)
         total += math.comb(BINS, same) * limit**same * (1 - limit) ** (BINS - same) * math.exp(-alive) ** runs
     return total
 
@@ -95,12 +96,22 @@ def fingerprints(token: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return mix(total[:, offs[1:]] - total[:, offs[:-1]] + np.diff(offs).astype(U64)).T
 
 
-def picked(token: np.ndarray, owner: np.ndarray, sizes: np.ndarray, seed: np.ndarray | np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of the picked tokens, and the keys of the nodes that they lead to."""
-    h = mix(token ^ seed)
-    below = np.float64(2**64) / (LIMIT * np.maximum(sizes, 1.3))
-    at = np.flatnonzero(h < below.astype(U64)[owner])
-    return at, mix(h[at] + U64(_STEP))
+def picked(token: np.ndarray, owner: np.ndarray, sizes: np.ndarray, runs: range) -> tuple[np.ndarray, np.ndarray]:
+    """Owners of the tokens that each run picks, and the keys of the nodes that they lead to.
+
+    One hash of 64 bits serves four runs. A rate is rounded up to 16 bits, so that a larger set never picks a token that
+    a smaller one holding it would not, and the mean is not missed; very large sets pick a few more tokens.
+    """
+    below = np.ceil(65536 / (LIMIT * np.maximum(sizes, 1.3))).astype(np.uint32)[owner][:, None]
+    owners, keys = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+    for g in range(runs.start // 4, -(-runs.stop // 4)):
+        lanes = mix(token ^ mix(np.array([g + 1], U64))).view("<u2").reshape(-1, 4)
+        at, lane = np.nonzero(lanes < below)
+        run = 4 * g + lane
+        own = (run >= runs.start) & (run < runs.stop)
+        owners.append(owner[at[own]])
+        keys.append(mix(mix(token[at[own]]) + (run[own].astype(U64) + U64(1)) * U64(_STEP)))
+    return np.concatenate(owners), np.concatenate(keys)
 
 
 def sketches(token: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -132,8 +143,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owner = np.repeat(np.arange(b - a), sizes)
             lists = []
             for runs in (range(FIRST), range(FIRST, RUNS)):
-                got = [picked(token, owner, sizes, mix(np.array([r + 1], U64))[0]) for r in runs]
-                docs, keys = np.concatenate([owner[at] for at, _ in got]), np.concatenate([key for _, key in got])
+                docs, keys = picked(token, owner, sizes, runs)
                 order = np.argsort(docs, kind="stable")
                 lists.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=b - a))]).astype(np.int32), pa.array(keys[order].view(np.int64))))
             fp, sketch = (pa.array([x.tobytes() for x in y], pa.binary()) for y in (fingerprints(token, own), sketches(token, owner, b - a)))
@@ -167,8 +177,8 @@ def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, own = np.maximum(held.sum(1), 1), apart.sum(1)
         token = mix(np.arange(BINS, dtype=U64) << U64(16) | value.astype(U64))
         h = mix(token ^ mix(node)[:, None])
-        rate = 2 / (1 + LIMIT) / np.maximum(LIMIT * total, 1.3)
-        high = 2 / (1 + LIMIT) / np.maximum(own - (1 - LIMIT) * total, 1.3)
+        rate = 2 / (1 + LIMIT) / np.maximum((LIMIT - MARGIN) * total, 1.3)
+        high = 2 / (1 + LIMIT) / np.maximum(own - (1 - LIMIT + MARGIN) * total, 1.3)
         alone, both = own >= APART * total, own >= (APART - 1.6 * (1 - LIMIT)) * total
         share = h.astype(np.float64) / 2.0**64
         row, at = np.nonzero((held & ~alone[:, None] & (share < rate[:, None])) | (apart & both[:, None] & (share < high[:, None])))
@@ -417,14 +427,19 @@ def candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:
         turn = F.pmod(F.xxhash64("fp", "key"), F.lit(1 << 30))
         some = met.where((F.col("size") > SMALL) & (turn % COARSE == 0))
         some = some.where(F.floor(turn / COARSE) % F.ceil(F.col("size") / F.lit(COARSE * JUDGES)) == 0)
-        marks = written(some.join(heads, "key").select("key", "fp", "sketch", "hub_sketch").groupBy(unit).applyInArrow(_judged, "key long, alike double, agreed binary"), "marks")
-        large = met.where(F.col("size") > SMALL).join(marks, "key", "left")
-        none = F.lit(b"\xff" * (2 * BINS))
-        large = written(large.select("key", "fp", "label", "hub", "sketch", F.coalesce("agreed", none).alias("agreed"), ((F.coalesce("alike", F.lit(0.0)) >= DENSE) | F.lit(depth == DEPTH)).alias("dense")), "large")
-        stars = stars.unionByName(large.where("dense").select("hub", "fp"))
-        if depth == DEPTH or large.where("NOT dense").isEmpty():
+        judged = some.join(heads, "key").select("key", "fp", "sketch", "hub_sketch").groupBy(unit).applyInArrow(_judged, "key long, alike double, agreed binary")
+        none = F.struct(F.lit(0.0).alias("alike"), F.lit(b"\xff" * (2 * BINS)).alias("agreed"))  # no judge by chance: split by all
+        marks = heads.select("key").join(judged.select("key", F.struct("alike", "agreed").alias("j")), "key", "left").select("key", F.coalesce("j", none).alias("j")).select("key", "j.*")
+        marks = written(marks, "marks")
+        marked = met.where(F.col("size") > SMALL).join(marks, "key")
+        whole = (F.col("alike") >= DENSE) | F.lit(depth == DEPTH)
+        stars = stars.unionByName(marked.where(whole).select("hub", "fp"))
+        if depth == DEPTH:
+            break
+        split = marked.where(~whole).select("key", "fp", "label", "sketch", "agreed")
+        nodes = written(split.mapInArrow(_children, "key long, fp binary, label binary, sketch binary"), "nodes")
+        if nodes.isEmpty():
             break
-        nodes = written(large.where("NOT dense").select("key", "fp", "label", "sketch", "agreed").mapInArrow(_children, "key long, fp binary, label binary, sketch binary"), "nodes")
     return stars
 
 
@@ -493,6 +508,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each connected component stays, that of the least doc_id; all columns, whatever their names."""
     found = join(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("th") == F.col("class_th"))).select("doc_id", "th")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.struct(*docs.columns).alias("row"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     kept = rows.join(found.select(F.col("doc_id").alias("kept_id"), F.col("th").alias("kept_th")), F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("th") == F.col("kept_th")), "left_semi")
     return kept.dropDuplicates(["doc_id", "th"]).select("row.*")
