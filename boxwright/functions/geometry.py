@@ -51,8 +51,14 @@ def rescaled(b: Box, inner: tuple[float, float], outer: tuple[float, float]) ->
     return clipped(((b[0] - pad_w) / gain, (b[1] - pad_h) / gain, (b[2] - pad_w) / gain, (b[3] - pad_h) / gain), *outer)
 
 
-def letterbox(w: Column, h: Column, size: int, stride: int = 32, auto: bool = True, scale_up: bool = True) -> dict[str, Column]:
-    """Gain, unpadded size and integer borders of a frame fitted into size x size (padding modulo stride if auto)."""
+def letterbox(w: Column, h: Column, size: int, stride: int = 32, auto: bool = True, scale_up: bool = True, fill: bool = False) -> dict[str, Column]:
+    """Gain, unpadded size and integer borders of a frame fitted into size x size (padding modulo stride if auto).
+
+    ``fill`` (without auto) stretches the frame to the whole square: no border, and gain is that of the width.
+    """
+    if fill and not auto:
+        side, none = F.lit(float(size)), F.lit(0.0)
+        return {"gain": side / w, "new_w": side, "new_h": side, "left": none, "right": none, "top": none, "bottom": none}
     gain = F.least(F.lit(float(size)) / h, F.lit(float(size)) / w)
     gain = gain if scale_up else F.least(gain, F.lit(1.0))
     new_w, new_h = F.bround(w * gain), F.bround(h * gain)
@@ -99,7 +105,7 @@ def generalised_iou(a: Box, b: Box, eps: float = EPS) -> dict[str, Column]:
     diagonal = cw * cw + ch * ch + eps
     gap = (F.pow(b[0] + b[2] - a[0] - a[2], 2) + F.pow(b[1] + b[3] - a[1] - a[3], 2)) / 4
     v = F.pow(F.atan(w2 / h2) - F.atan(w1 / h1), 2) * (4 / 3.141592653589793**2)
-    alpha = v / (v - plain + (1 + eps))
+    alpha = v / ((1 - plain) + v + eps)
     return {"iou": plain, "giou": plain - (hull - union) / hull, "diou": plain - gap / diagonal, "ciou": plain - (gap / diagonal + v * alpha)}
 
 
@@ -107,6 +113,12 @@ def divisible(x: Column, by: int, floor: int = 0) -> Column:
     return F.greatest(F.ceil(x / by) * by, F.lit(floor))
 
 
+def image_size(x: Column, stride: int = 32, floor: int = 0) -> tuple[Column, Column]:
+    """The next multiple of the stride that is at least floor, and whether that changes the size."""
+    fit = divisible(x, stride, floor)
+    return fit, fit != x
+
+
 def flipped(b: Box, horizontal: bool = True) -> Box:
     """Normalised centre boxes mirrored."""
     return (1 - b[0], b[1], b[2], b[3]) if horizontal else (b[0], 1 - b[1], b[2], b[3])
@@ -121,6 +133,16 @@ def warped(b: Box, m: tuple[float, ...], w: float, h: float) -> Box:
     return clipped((F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys)), w, h)
 
 
+def warped_points(points: Column, m: tuple[float, ...]) -> Column:
+    """Points under the row-major 3x3 matrix."""
+
+    def at(p):
+        z = p["x"] * m[6] + p["y"] * m[7] + m[8]
+        return F.struct(((p["x"] * m[0] + p["y"] * m[1] + m[2]) / z).alias("x"), ((p["x"] * m[3] + p["y"] * m[4] + m[5]) / z).alias("y"))
+
+    return F.transform(points, at)
+
+
 def survives(before: Box, after: Box, side: float = 2, ratio: float = 100, share: float = 0.1, eps: float = 1e-16) -> Column:
     """Whether an augmented box is large, undistorted and complete enough to keep."""
     w1, h1, w2, h2 = before[2] - before[0], before[3] - before[1], after[2] - after[0], after[3] - after[1]
@@ -149,6 +171,24 @@ def tile_origin(tile: Column, w, h, xc: float, yc: float) -> tuple[Column, Colum
     return F.when(tile % 2 == 0, F.lit(xc) - w).otherwise(F.lit(xc)), F.when(tile < 2, F.lit(yc) - h).otherwise(F.lit(yc))
 
 
+def nine_origin(tile: Column, side: float, w: Column, h: Column, w0: Column, h0: Column, wp: Column, hp: Column) -> tuple[Column, Column]:
+    """Left and top of nine tiles laid clockwise around the first, on a canvas of three sides.
+
+    Tiles 1 to 8 go top, top right, right, bottom right, bottom, bottom left, left, top left. A tile touches the centre
+    (size w0 x h0) or the tile before it (size wp x hp).
+    """
+    s = F.lit(float(side))
+    left = [s, s, s + wp, s + w0, s + w0, s + w0 - w, s + w0 - wp - w, s - w, s - w]
+    top = [s, s - h, s - h, s, s + hp, s + h0, s + h0, s + h0 - h, s + h0 - hp - h]
+    return tuple(F.get(F.array(*places), tile.cast("int")) for places in (left, top))
+
+
+def quartered(b: Box, slot: Column) -> Box:
+    """Normalised centre boxes of four frames put together (0 top left, 1 below it, 2 right of it, 3 the last corner)."""
+    right, low = F.floor(slot / 2), slot % 2
+    return (b[0] + right) / 2, (b[1] + low) / 2, b[2] / 2, b[3] / 2
+
+
 def polygon_box(points: Column, w=None, h=None) -> Box:
     """Corners of the points of array<struct<x,y>>, of those within the frame if one is given; zeros if there are none."""
     if w is not None:
@@ -161,6 +201,14 @@ def scaled_points(points: Column, gain_x=1.0, gain_y=1.0, pad_x=0.0, pad_y=0.0)
     return F.transform(points, lambda p: F.struct((p["x"] * gain_x + pad_x).alias("x"), (p["y"] * gain_y + pad_y).alias("y")))
 
 
+def rescaled_points(points: Column, inner: tuple[float, float], outer: tuple[float, float], normalise: bool = False) -> Column:
+    """Points of a letterboxed inner frame (w, h) back in the outer frame, clipped, as shares of it if asked."""
+    gain = min(inner[0] / outer[0], inner[1] / outer[1])
+    pad_w, pad_h = (inner[0] - outer[0] * gain) / 2, (inner[1] - outer[1] * gain) / 2
+    div_w, div_h = outer if normalise else (1.0, 1.0)
+    return F.transform(points, lambda p: F.struct((clamp((p["x"] - pad_w) / gain, 0, outer[0]) / div_w).alias("x"), (clamp((p["y"] - pad_h) / gain, 0, outer[1]) / div_h).alias("y")))
+
+
 def resampled(points: Column, n: int = 1000) -> Column:
     """n points along the closed polygon, linear in the point number."""
     closed = F.concat(points, F.slice(points, 1, 1))
@@ -182,10 +230,24 @@ def exif_size(w: Column, h: Column, orientation: Column) -> tuple[Column, Column
     return F.when(turned, h).otherwise(w), F.when(turned, w).otherwise(h)
 
 
+#: What undoes each orientation code of a camera.
+TURNS = {2: "FLIP_LEFT_RIGHT", 3: "ROTATE_180", 4: "FLIP_TOP_BOTTOM", 5: "TRANSPOSE", 6: "ROTATE_270", 7: "TRANSVERSE", 8: "ROTATE_90"}
+
+
+def exif_turn(orientation: Column) -> Column:
+    """Name of the transposition that shows the frame upright; null if none is needed."""
+    return F.element_at(F.create_map(*(F.lit(x) for kv in TURNS.items() for x in kv)), orientation.cast("int"))
+
+
 def one_cycle(x: Column, start: float, end: float, steps: float) -> Column:
-    return ((1 - F.cos(x * 3.141592653589793 / steps)) / 2) * (end - start) + start
+    """Half a cosine wave from start (at 0) to end (at steps)."""
+    return start + (end - start) * F.pow(F.sin(x * (3.141592653589793 / (2 * steps))), 2)
+
+
+#: The characters that names may not hold.
+SPECIAL = "|@#!¡·$€%&()=?¿^*;:,¨´><+"
 
 
 def cleaned(c: Column) -> Column:
     """Special characters replaced by underscores."""
-    return F.regexp_replace(c, r"[|@#!¡·$€%&()=?¿^*;:,¨´><+]", "_")
+    return F.translate(c, SPECIAL, "_" * len(SPECIAL))

@@ -60,14 +60,25 @@ def hash_split(key: Column, train: float = 0.9, val: float = 0.1) -> Column:
 def rect_batches(images: DataFrame, size: int) -> DataFrame:
     """batch, n, least and most of images in aspect order, so that a batch needs little padding.
 
-    The order number is global: aspects are dealt to ranges, counted per range, and ranked within their range.
+    Images of one aspect are counted first, so however many there are, they are one row; an aspect then fills the batches
+    that its places reach into. Places are summed in two levels, over ranges of aspects and within a range.
     """
-    rows = images.withColumn("b", F.floor(F.col("aspect") * 256))
+    rows = images.groupBy("aspect").agg(F.count("*").alias("c")).withColumn("b", F.floor(F.col("aspect") * 256))
+    within = Window.partitionBy("b").orderBy("aspect").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum("c").over(within))
     before = Window.partitionBy(F.lit(0)).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
-    offs = rows.groupBy("b").agg(F.count("*").alias("n")).select("b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
-    within = F.row_number().over(Window.partitionBy("b").orderBy("aspect", "image_id")) - 1
-    numbered = rows.withColumn("i", within).join(offs, "b").withColumn("batch", F.floor((F.col("i") + F.col("off")) / size))
-    return numbered.groupBy("batch").agg(F.count("*").alias("n"), F.min("aspect").alias("least"), F.max("aspect").alias("most"))
+    offs = rows.groupBy("b").agg(F.max("upto").alias("n")).select("b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
+    placed = rows.join(offs, "b").withColumn("end", F.col("off") + F.col("upto")).withColumn("start", F.col("end") - F.col("c"))
+    spread = placed.withColumn("batch", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((F.col("end") - 1) / size))))
+    share = F.least("end", (F.col("batch") + 1) * size) - F.greatest("start", F.col("batch") * size)
+    return spread.groupBy("batch").agg(F.sum(share).alias("n"), F.min("aspect").alias("least"), F.max("aspect").alias("most"))
+
+
+def batch_shapes(batches: DataFrame, size: int, stride: int = 32, pad: float = 0.0) -> DataFrame:
+    """Adds height and width of each batch from its least and most aspect (height / width): the longer side is ``size``."""
+    tall, wide = F.when(F.col("least") > 1, 1 / F.col("least")).otherwise(1.0), F.when(F.col("most") < 1, F.col("most")).otherwise(1.0)
+    fit = lambda x: (F.ceil(x * size / stride + pad) * stride).cast("int")
+    return batches.withColumns({"height": fit(wide), "width": fit(tall)})
 
 
 def density(rows: DataFrame, x: str, y: str, bins_x: float, bins_y: float) -> DataFrame:
@@ -82,9 +93,19 @@ def line_fit(rows: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def file_digest(files: DataFrame) -> DataFrame:
-    """sha256 of the total size and all paths in order, by hashed groups first: no list grows beyond the groups."""
-    group = files.groupBy(F.pmod(F.xxhash64("path"), F.lit(256)).alias("g")).agg(F.sum("size").alias("size"), F.sha2(F.array_join(F.sort_array(F.collect_list("path")), ""), 256).alias("h"))
-    return group.agg(F.sum("size").alias("total"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("g", "h"))), lambda x: x["h"]), "").alias("h")).select("total", F.sha2(F.concat(F.col("total").cast("string"), "h"), 256).alias("digest"))
+    """total, digest of files (path, size): sha256 over the total size and the digests of 256 groups of paths, in order.
+
+    A group holds the paths whose md5 starts with its two digits, and its digest is that of its sorted paths; so no list
+    of all paths is built. Equal file sets have equal digests, in any order.
+    """
+    group = files.groupBy(F.substring(F.md5(F.col("path")), 1, 2).alias("g")).agg(F.sum("size").alias("size"), F.sha2(F.array_join(F.sort_array(F.collect_list("path")), ""), 256).alias("h"))
+    parts = group.agg(F.sum("size").alias("total"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("g", "h"))), lambda x: x["h"]), "").alias("h"))
+    return parts.select("total", F.sha2(F.concat(F.col("total").cast("string"), "h"), 256).alias("digest"))
+
+
+def annotated_split(images: DataFrame, labelled: DataFrame, key: str) -> DataFrame:
+    """key, split of the images that have a label file: others are left out of every split."""
+    return images.join(labelled.select(key).distinct(), key, "left_semi").select(key, hash_split(F.col(key)).alias("split"))
 
 
 # anchors
@@ -137,11 +158,16 @@ def kmeans_anchors(labels: DataFrame, n: int = 9, steps: int = 200, seed: int =
         m = np.minimum(r, 1 / r).min(2).max(1)
         return float((m * (m > 0.25) * data[:, 2]).sum() / data[:, 2].sum())
 
-    top = score(best) if len(data) else 0.0
-    for _ in range(steps if len(data) else 0):
-        trial = [tuple(max(2.0, v * float(np.clip(1 + rng.normal() * 0.1 * (rng.random() < 0.9), 0.3, 3))) for v in a) for a in best]
+    # climb: one anchor at a time is stretched along a random axis; steps shrink while they fail and grow when they help
+    top, reach = score(best) if len(data) else 0.0, 0.2
+    for step in range(steps if len(data) else 0):
+        trial, k = list(best), step % n
+        angle = rng.uniform(0, 2 * np.pi)
+        trial[k] = tuple(max(2.0, v * float(np.exp(reach * t))) for v, t in zip(best[k], (np.cos(angle), np.sin(angle)), strict=True))
         if (s := score(trial)) > top:
-            best, top = trial, s
+            best, top, reach = trial, s, min(0.5, reach * 1.5)
+        else:
+            reach = max(0.01, reach * 0.97)
     return sorted(best, key=lambda a: a[0] * a[1])
 
 
@@ -163,6 +189,12 @@ def early_stop(runs: DataFrame, patience: int, order: str = "epoch") -> DataFram
     return out.withColumn("stop", F.col(order) - F.col("best_epoch") >= patience)
 
 
+def running_best(runs: DataFrame, value: str, order: str = "epoch") -> DataFrame:
+    """Adds best, the largest value so far."""
+    w = Window.partitionBy("run_id").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return runs.withColumn("best", F.max(value).over(w))
+
+
 def running_mean(runs: DataFrame, value: str, order: str = "epoch") -> DataFrame:
     w = Window.partitionBy("run_id").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return runs.withColumn("mean", F.avg(value).over(w))

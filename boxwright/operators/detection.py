@@ -13,7 +13,14 @@ from boxwright.functions import geometry as G
 
 #: The ten overlap thresholds.
 THRESHOLDS = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
-BUCKETS = 64
+#: Cells of confidence for two-level running sums: a cell of a class is a window of its own.
+BUCKETS = 1024
+
+
+def cell(conf: Column) -> Column:
+    """Cell of a confidence, from 0 for the highest; finer towards 0, where raw detections crowd."""
+    low = F.lit(BUCKETS // 2) + F.least(F.floor(-F.log2(F.greatest(conf, F.lit(2.0**-60)) * 16) * (BUCKETS / 128)), F.lit(BUCKETS // 2 - 1))
+    return F.when(conf >= 1 / 16, F.floor((1 - conf) * (BUCKETS / 2))).otherwise(low).cast("int")
 
 
 def pairs(gt: DataFrame, det: DataFrame, same_class: bool = True) -> DataFrame:
@@ -25,12 +32,18 @@ def pairs(gt: DataFrame, det: DataFrame, same_class: bool = True) -> DataFrame:
 
 
 def match(gt: DataFrame, det: DataFrame) -> DataFrame:
+    """Best-label matches of boxes: see matched()."""
+    return matched(pairs(gt, det))
+
+
+def matched(near: DataFrame) -> DataFrame:
     """image_id, det_id, gt_id, conf, cls, iou, tp (an array with a flag for each threshold) of detections that reach the first.
 
+    ``near`` holds pairs of equal class (of boxes, masks or whatever overlaps) with image_id, det_id, gt_id, cls, conf, iou.
     A detection competes for its best label only, the same at every threshold it reaches; the label goes to the most
     confident of its detections that reach the threshold. So overlaps are computed once and thresholds are no rows.
     """
-    near = pairs(gt, det).where(F.col("iou") >= THRESHOLDS[0])
+    near = near.where(F.col("iou") >= THRESHOLDS[0])
     best = near.withColumn("k", F.row_number().over(Window.partitionBy("image_id", "det_id").orderBy(F.desc("iou"), "gt_id"))).where("k = 1")
     earlier = Window.partitionBy("image_id", "gt_id").orderBy(F.desc("conf"), "det_id").rowsBetween(Window.unboundedPreceding, -1)
     most = F.coalesce(F.max("iou").over(earlier), F.lit(-1.0))  # it is first at a threshold iff no earlier one reaches it
@@ -50,18 +63,20 @@ def class_counts(gt: DataFrame) -> DataFrame:
 
 
 def running(flags: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """cls, b, rn, conf, n_labels, points (thr, hit, tps: hits so far) along falling confidence; and totals by cls and bucket b.
+    """cls, b, rn, conf, n_labels, points (thr, hit, tps: hits so far) along falling confidence; and totals by cls and cell b.
 
-    Running sums in two levels: confidence buckets within a class are windows of their own, and a table of bucket totals
-    (classes x BUCKETS rows) carries the sums over; so a class is not one task.
+    Running sums in two levels: confidence cells within a class are windows of their own, and a table of cell totals
+    (at most classes x BUCKETS rows) carries the sums over; so a class is not one task. Totals are read off the windowed
+    rows, which lie by class and cell already, so the rows are dealt once.
     """
     n = len(THRESHOLDS)
-    rows = flags.join(counts, "cls").withColumn("b", F.floor((1 - F.col("conf")) * BUCKETS).cast("int"))
+    rows = flags.join(counts, "cls").withColumn("b", cell(F.col("conf")))
     inner = Window.partitionBy("cls", "b").orderBy(F.desc("conf"), "image_id", "det_id").rowsBetween(Window.unboundedPreceding, 0)
-    totals = rows.groupBy("cls", "b").agg(F.count("*").alias("rows"), *(F.sum(F.get("tp", F.lit(k))).alias(f"t{k}") for k in range(n)))
+    run = rows.withColumns({"i": F.count("*").over(inner), **{f"r{k}": F.sum(F.get("tp", F.lit(k))).over(inner) for k in range(n)}})
+    totals = run.groupBy("cls", "b").agg(F.max("i").alias("rows"), *(F.max(f"r{k}").alias(f"t{k}") for k in range(n)))
     before = Window.partitionBy("cls").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select("cls", "b", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"c_{c}") for c in ("rows", *(f"t{k}" for k in range(n)))))
-    run = rows.withColumns({"i": F.count("*").over(inner), **{f"r{k}": F.sum(F.get("tp", F.lit(k))).over(inner) for k in range(n)}}).join(carry, ["cls", "b"])
+    run = run.join(carry, ["cls", "b"])
     points = F.array(*[F.struct(F.lit(k).alias("thr"), F.get("tp", F.lit(k)).alias("hit"), (F.col(f"r{k}") + F.col(f"c_t{k}")).alias("tps")) for k in range(n)])
     return run.select("cls", "b", (F.col("i") + F.col("c_rows")).alias("rn"), "conf", "n_labels", points.alias("points")), totals
 
@@ -83,13 +98,18 @@ def curve(flags: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def average_precision(gt: DataFrame, det: DataFrame) -> DataFrame:
+    """cls, thr, ap of boxes: see precision_of()."""
+    return precision_of(flagged(gt, det), class_counts(gt))
+
+
+def precision_of(flags: DataFrame, counts: DataFrame) -> DataFrame:
     """cls, thr, ap: the envelope between (0, 1) and (1, 0) sampled at 101 recalls, by the trapezoid rule; 0 without detections.
 
     Recall rises at hits only, and precision falls from one hit to the next. So hits alone make the envelope, and every
     hit ends one segment, whose start follows from its own rank and hits; the last segment leads to (1, 0).
     """
-    n, counts = len(THRESHOLDS), class_counts(gt)
-    run, totals = running(flagged(gt, det), counts)
+    n = len(THRESHOLDS)
+    run, totals = running(flags, counts)
     hits = run.withColumn("p", F.explode(F.filter("points", lambda p: p["hit"] == 1))).select("cls", "b", "rn", "n_labels", "p.thr", "p.tps")
     hits = enveloped(hits.withColumn("precision", F.col("tps") / F.col("rn")))
     start = F.when(F.col("rn") == 1, 1.0).otherwise(F.greatest((F.col("tps") - 1) / F.greatest(F.col("rn") - 1, F.lit(1)), F.col("envelope")))
@@ -110,10 +130,27 @@ def sampled(gt: DataFrame, det: DataFrame, points: int = 1000) -> DataFrame:
     Linear between detections in confidence order; above the largest confidence recall is 0 and precision 1; where
     several detections share a confidence, interpolation starts at the first of them.
     """
-    c = curve(flagged(gt, det), class_counts(gt)).where("thr = 0").select("cls", "rn", "conf", "recall", "precision")
-    first = c.groupBy("cls", "conf").agg(F.min_by(F.struct("recall", "precision"), "rn").alias("lo"), F.max_by(F.struct("recall", "precision"), "rn").alias("hi"))
-    w = Window.partitionBy("cls").orderBy("conf")
-    seg = first.select("cls", "conf", "lo", F.lead("conf").over(w).alias("c2"), F.lead("hi").over(w).alias("n2"), F.lag("conf").over(w).alias("prev"))
+    hits = flagged(gt, det).select("image_id", "det_id", "cls", "conf", F.get("tp", F.lit(0)).alias("hit"))
+    level = hits.groupBy("cls", "conf").agg(F.count("*").alias("n"), F.sum("hit").alias("hits"), F.min_by("hit", F.struct("image_id", "det_id")).alias("lead"))
+    rows = level.join(class_counts(gt), "cls").withColumn("b", cell(F.col("conf")))
+    # two levels, as in running(): a cell's own rows, and what a table of cells carries over
+    w = Window.partitionBy("cls", "b").orderBy(F.desc("conf"))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"i": F.sum("n").over(upto), "c": F.sum("hits").over(upto), "up": F.lag(F.struct("conf", "n", "hits")).over(w), "down": F.lead("conf").over(w)})
+    cells = rows.groupBy("cls", "b").agg(F.max("i").alias("n"), F.max("c").alias("hits"), F.max("conf").alias("high"), F.min("conf").alias("low"))
+    by = Window.partitionBy("cls").orderBy("b")
+    past = by.rowsBetween(Window.unboundedPreceding, -1)
+    carry = cells.select("cls", "b", F.coalesce(F.sum("n").over(past), F.lit(0)).alias("off"), F.coalesce(F.sum("hits").over(past), F.lit(0)).alias("off_hits"), F.lag("low").over(by).alias("above"), F.lead("high").over(by).alias("below"))
+    rows = rows.join(carry, ["cls", "b"])
+
+    def at_(seen: Column, found: Column) -> Column:
+        return F.struct((found / F.col("n_labels")).alias("recall"), (found / seen).alias("precision"))
+
+    seen, found = F.col("off") + F.col("i") - F.col("n"), F.col("off_hits") + F.col("c") - F.col("hits")  # before this confidence
+    seg = rows.select(
+        "cls", "conf", at_(seen + 1, found + F.col("lead")).alias("lo"), F.coalesce("up.conf", "above").alias("c2"),
+        F.when(seen > 0, at_(seen, found)).alias("n2"), F.coalesce("down", "below").alias("prev"),
+    )
     step = F.lit(float(points - 1))
     k0 = F.when(F.col("prev").isNull(), F.lit(0)).otherwise(F.ceil(F.col("conf") * step))
     k1 = F.when(F.col("c2").isNull(), F.lit(points - 1)).otherwise(F.ceil(F.col("c2") * step) - 1)
@@ -135,13 +172,20 @@ def mean_curve(gt: DataFrame, det: DataFrame) -> DataFrame:
 
 
 def best_f1(gt: DataFrame, det: DataFrame, points: int = 1000, width: int = 101) -> DataFrame:
-    """The confidence index of the largest smoothed mean F1 (the ends are padded with the end values), and the means there."""
-    half, means = width // 2, mean_curve(gt, det)
-    spread = means.select("f1", "px", F.explode(F.when(F.col("px") == 0, F.sequence(F.lit(-half), F.lit(0))).when(F.col("px") == points - 1, F.sequence(F.lit(points - 1), F.lit(points - 1 + half))).otherwise(F.array(F.col("px")))).alias("at"))
-    box = F.avg("f1").over(Window.partitionBy(F.lit(0)).orderBy("at").rowsBetween(-half, half))  # points + width rows
-    smooth = spread.select("at", box.alias("smooth")).where(F.col("at").between(0, points - 1))
-    best = smooth.orderBy(F.desc(F.round("smooth", 12)), "at").limit(1).select(F.col("at").alias("px"))
-    return means.join(F.broadcast(best), "px")
+    """The confidence index of the largest smoothed mean F1 (the ends are padded with the end values), and the means there.
+
+    The means are a row for each of the points: they are gathered into one array, smoothed and searched inside that row.
+    """
+    half = width // 2
+    row = mean_curve(gt, det).agg(F.sort_array(F.collect_list(F.struct("px", "precision", "recall", "f1"))).alias("m")).where(F.size("m") > 0)
+    last = F.size("m") - 1
+
+    def smooth(i: Column) -> Column:
+        around = F.transform(F.sequence(i - half, i + half), lambda k: F.get(F.col("m"), F.greatest(F.lit(0), F.least(k, last)))["f1"])
+        return F.round(F.aggregate(around, F.lit(0.0), lambda s, x: s + x) / width, 12)
+
+    ranked = F.transform("m", lambda x, i: F.struct(smooth(i).alias("s"), (-i).alias("back")))
+    return row.select(F.get("m", -F.array_max(ranked)["back"]).alias("b")).select("b.px", "b.precision", "b.recall", "b.f1")
 
 
 def confusion_pairs(gt: DataFrame, det: DataFrame, conf: float = 0.25, limit: float = 0.45) -> DataFrame:
@@ -160,13 +204,30 @@ def unmatched_detections(det: DataFrame, matched: DataFrame, conf: float = 0.25,
     return out.join(matched.select("image_id").distinct(), "image_id", "left_semi") if only_matched_images else out
 
 
-def confusion(gt: DataFrame, det: DataFrame, classes: int) -> DataFrame:
-    """pred_cls, true_cls, n; the number of classes stands for the background."""
-    m, back = confusion_pairs(gt, det), F.lit(classes)
-    cells = m.select(F.col("cls").alias("pred_cls"), F.col("gt_cls").alias("true_cls"))
-    cells = cells.unionByName(unmatched_labels(gt, m).select(back.alias("pred_cls"), F.col("cls").alias("true_cls")))
-    cells = cells.unionByName(unmatched_detections(det, m).select(F.col("cls").alias("pred_cls"), back.alias("true_cls")))
-    return cells.groupBy("pred_cls", "true_cls").agg(F.count("*").alias("n"))
+def confusion(gt: DataFrame, det: DataFrame, classes: int, conf: float = 0.25, limit: float = 0.45) -> DataFrame:
+    """pred_cls, true_cls, n; the number of classes stands for the background.
+
+    Labels and confident detections of an image are two arrays of one row. Each detection finds its best label, each
+    label the best of the detections that chose it, both inside the row: one grouping by image, then one by cells.
+    """
+    box = ["cls", "x1", "y1", "x2", "y2"]
+    sides = gt.select("image_id", F.struct(F.col("gt_id").cast("long").alias("id"), *box).alias("g"), F.lit(None).alias("d"))
+    sides = sides.unionByName(det.where(F.col("conf") > conf).select("image_id", F.lit(None).alias("g"), F.struct(F.col("det_id").cast("long").alias("id"), *box).alias("d")))
+    rows = sides.groupBy("image_id").agg(F.collect_list("g").alias("gs"), F.collect_list("d").alias("ds"))
+    corners = lambda b: tuple(b[c].cast("double") for c in box[1:])
+
+    def best(d: Column) -> Column:
+        near = F.transform("gs", lambda g: F.struct(G.iou(corners(g), corners(d)).alias("iou"), (-g["id"]).alias("neg"), g["cls"].alias("cls")))
+        return F.struct(d["id"].alias("id"), d["cls"].alias("cls"), F.array_max(F.filter(near, lambda m: m["iou"] > limit)).alias("m"))
+
+    rows = rows.select("gs", F.transform("ds", best).alias("ds"))
+    rivals = lambda g: F.filter("ds", lambda d: -d["m"]["neg"] == g["id"])
+    won = F.transform("gs", lambda g: F.struct(g["cls"].alias("cls"), F.array_max(F.transform(rivals(g), lambda d: F.struct(d["m"]["iou"].alias("iou"), (-d["id"]).alias("neg"), d["cls"].alias("cls")))).alias("w")))
+    rows = rows.select("ds", won.alias("won"))
+    taken, back = F.transform(F.filter("won", lambda x: x["w"].isNotNull()), lambda x: -x["w"]["neg"]), F.lit(classes)
+    hits = F.transform("won", lambda x: F.struct(F.coalesce(x["w"]["cls"], back).alias("pred_cls"), x["cls"].alias("true_cls")))
+    lost = F.transform(F.filter("ds", lambda d: (F.size(taken) > 0) & ~F.array_contains(taken, d["id"])), lambda d: F.struct(d["cls"].alias("pred_cls"), back.alias("true_cls")))
+    return rows.select(F.explode(F.concat(hits, lost)).alias("c")).groupBy("c.pred_cls", "c.true_cls").agg(F.count("*").alias("n"))
 
 
 def confusion_shares(cells: DataFrame) -> DataFrame:

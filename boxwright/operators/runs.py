@@ -44,26 +44,43 @@ def gaussian(runs: DataFrame, value: str, sigma: float = 3.0, truncate: float =
     return rows.select("run_id", F.explode(F.transform("xs", smooth)).alias("s")).select("run_id", f"s.{order}", "s.smooth")
 
 
-def next_generation(log: DataFrame, fit: str, bounds: dict[str, tuple[float, float, float]], parents: int = 5, rate: float = 0.8, sigma: float = 0.2, seed: int = 0) -> dict[str, float]:
-    """Hyper-parameters to try next: a parent among the fittest, drawn by fitness, with some values scaled at random.
+def next_population(log: DataFrame, fit: str, bounds: dict[str, tuple[float, float]], size: int = 20, elite: int = 2, contest: int = 3, rate: float = 0.3, spread: float = 0.1, seed: int = 0) -> list[dict[str, float]]:
+    """Hyper-parameters to try next, from a log of those tried with their fitness.
 
-    ``bounds``: name to (gain, low, high); a gain of 0 keeps a value. Only the parents reach the driver; at least one
-    value changes if any gain is above 0.
+    ``bounds``: name to (low, high). The ``elite`` fittest rows stay as they are. Every other one has two parents, each the
+    fittest of ``contest`` rows drawn at random; it takes the values before a random cut from one and the rest from the
+    other, and each value then moves, with the chance ``rate``, by a normal step of ``spread`` of its range, reflected at
+    the bounds. Only the ``size`` fittest rows reach the driver; ties go to the values in order.
     """
-    import numpy as np
+    import random
 
-    top = log.orderBy(F.desc(fit)).limit(parents).collect()
+    names = list(bounds)
+    top = log.select(fit, *names).orderBy(F.desc(fit), *names).limit(size).collect()
     if not top:
         raise ValueError("the log has no rows")
-    rng = np.random.default_rng(seed)
-    weight = np.array([r[fit] for r in top], float)
-    weight = weight - weight.min() + 1e-6
-    parent = top[rng.choice(len(top), p=weight / weight.sum())]
-    gain = np.array([g for g, _, _ in bounds.values()])
-    scale = np.ones(len(bounds))
-    while (gain > 0).any() and (scale == 1).all():
-        scale = np.clip(1 + gain * (rng.random(len(bounds)) < rate) * rng.normal(size=len(bounds)) * rng.random() * sigma, 0.3, 3.0)
-    return {name: round(float(np.clip(parent[name] * s, low, high)), 5) for (name, (_, low, high)), s in zip(bounds.items(), scale, strict=True)}
+    draw = random.Random(seed)
+    out = [{n: float(r[n]) for n in names} for r in top[:elite]]
+    while len(out) < size:
+        father, mother = (top[min(draw.randrange(len(top)) for _ in range(contest))] for _ in range(2))
+        cut = draw.randrange(1, len(names)) if len(names) > 1 else 1
+        child = {}
+        for k, n in enumerate(names):
+            low, high = bounds[n]
+            v = float((father if k < cut else mother)[n])
+            if draw.random() < rate and high > low:
+                v = low + abs((v - low + draw.gauss(0.0, spread * (high - low))) % (2 * (high - low)))
+                v = v if v <= high else 2 * high - v
+            child[n] = min(high, max(low, v))
+        out.append(child)
+    return out
+
+
+def best_settings(log: DataFrame, fit: str, names: list[str]) -> str:
+    """YAML text of the fittest row: its generation and fitness as a note, then a line a value."""
+    r = log.orderBy(F.desc(fit), *names).select(fit, *names).first()
+    if r is None:
+        raise ValueError("the log has no rows")
+    return "\n".join([f"# fitness: {r[fit]:.5g}", *(f"{n}: {r[n]:.5g}" for n in names), ""])
 
 
 def butterworth(order: int, cutoff: float):

@@ -66,20 +66,11 @@ def random_partners(spark, sf_dir):
     return P.partners(images(spark, sf_dir), "image_id", 3)
 
 
-@register(f"""{WITH}, w AS (SELECT image_id, count(*) AS weight FROM gt GROUP BY image_id),
-c AS (SELECT image_id, weight, sum(weight) OVER (ORDER BY {md5_number('draw', 'image_id')}, image_id ROWS UNBOUNDED PRECEDING) AS e FROM w), t AS (SELECT max(e) AS total FROM c),
-d AS (SELECT k AS draw, {md5_number('draw', 'k', 12)} % total AS pos FROM (SELECT unnest(range(5000)) AS k), t)
-SELECT draw, image_id FROM d JOIN c ON pos >= e - weight AND pos < e""")
-def weighted_draws(spark, sf_dir):
-    weights = labels(spark, sf_dir).groupBy("image_id").agg(F.count("*").alias("weight"))
-    return P.weighted_draws(weights, "image_id", "weight", 5000)
-
-
 @register(f"""{WITH}, w AS (SELECT image_id, count(*) AS weight FROM gt GROUP BY image_id),
 c AS (SELECT image_id, weight, sum(weight) OVER (ORDER BY {md5_number('draw', 'image_id')}, image_id ROWS UNBOUNDED PRECEDING) AS e FROM w), t AS (SELECT max(e) AS total FROM c),
 d AS (SELECT k AS draw, {md5_number('draw', 'k', 12)} % total AS pos FROM (SELECT unnest(range(n)) AS k FROM (SELECT count(*) AS n FROM w)), t)
 SELECT draw, image_id FROM d JOIN c ON pos >= e - weight AND pos < e""")
-def epoch_draws(spark, sf_dir):
+def weighted_draws(spark, sf_dir):
     """As many draws as images, as an epoch takes."""
     weights = labels(spark, sf_dir).groupBy("image_id").agg(F.count("*").alias("weight"))
     return P.weighted_draws(weights, "image_id", "weight", weights.count())
@@ -147,13 +138,16 @@ def warmup_rate(spark, sf_dir):
     return runs(spark, sf_dir).select("run_id", "epoch", F.round(C.interpolated(F.col("epoch"), 1, 10, 0.1, 0.01) + 1e-9, 6).alias("rate"))
 
 
-@register("""WITH e AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CASE WHEN label % 2 = 1 THEN 0.95::DOUBLE ELSE 0.05::DOUBLE END AS y FROM embeddings),
+@register("""WITH u AS (SELECT vec_id, label, unnest(embedding) AS v, unnest(range(len(embedding))) AS k FROM embeddings),
+e AS (SELECT vec_id, CAST(k AS INT) AS k, CAST(v AS DOUBLE) AS x, CASE WHEN k = label THEN 0.95::DOUBLE ELSE 0.05::DOUBLE END AS y FROM u),
 l AS (SELECT *, greatest(x, 0) - x * y + ln(1 + exp(-abs(x))) AS b, 1 / (1 + exp(-x)) AS p FROM e)
-SELECT vec_id, round(b + 1e-9, 6) AS bce, round(b * (y * 0.25 + (1 - y) * 0.75) * pow(1 - (y * p + (1 - y) * (1 - p)), 1.5) + 1e-9, 6) AS focal FROM l""")
+SELECT vec_id, k, round(b + 1e-9, 6) AS bce, round(b * (y * 0.25 + (1 - y) * 0.75) * pow(1 - (y * p + (1 - y) * (1 - p)), 1.5) + 1e-9, 6) AS focal,
+round(b * (y * 0.25 + (1 - y) * 0.75) * pow(abs(y - p), 1.5) + 1e-9, 6) AS quality_focal, round(b * (1 - exp((p - y - 1) / (0.05 + 1e-4))) + 1e-9, 6) AS blurred FROM l""")
 def loss_terms(spark, sf_dir):
     high, low = C.smoothed_targets()
-    x, y = F.get("embedding", F.lit(0)).cast("double"), F.when(F.col("label") % 2 == 1, F.lit(high)).otherwise(F.lit(low))
-    return table(spark, sf_dir, "embeddings").select("vec_id", *rounded(["bce", "focal"], [C.bce(x, y), C.focal(x, y)]))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("k", "v"))
+    x, y = F.col("v").cast("double"), F.when(F.col("k") == F.col("label"), F.lit(high)).otherwise(F.lit(low))
+    return rows.select("vec_id", "k", *rounded(["bce", "focal", "quality_focal", "blurred"], [f(x, y) for f in (C.bce, C.focal, C.quality_focal, C.blurred_bce)]))
 
 
 @register(f"""{WITH}, v AS (SELECT *, CASE det_id % 3 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.83::DOUBLE ELSE 0.67::DOUBLE END AS s, det_id % 3 = 1 AS lr FROM det), u AS (SELECT image_id, det_id, lr, x1 / s AS x1, y1 / s AS y1, x2 / s AS x2, y2 / s AS y2 FROM v)

@@ -41,8 +41,8 @@ gp AS (SELECT s.*, k FROM seg s JOIN (SELECT unnest(range(101)) AS k) ON k >= ce
 ap AS (SELECT cls, thr, sum((e + (e2 - e) * (k / 100.0::DOUBLE - recall) / (r2 - recall)) * CASE WHEN k = 0 THEN 0.5 ELSE 1 END) / 100 AS ap FROM gp GROUP BY cls, thr)"""
 CONF = f"""{PAIRS}, a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id, det_id ORDER BY iou DESC, gt_id) AS k FROM pairs WHERE conf > 0.25 AND iou > 0.45) WHERE k = 1),
 m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id, gt_id ORDER BY iou DESC, det_id) AS j FROM a) WHERE j = 1),
-ul AS (SELECT g.* FROM gt g WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.image_id = g.image_id AND m.gt_id = g.gt_id)),
-ud AS (SELECT d.* FROM det d WHERE conf > 0.25 AND image_id IN (SELECT image_id FROM m) AND NOT EXISTS (SELECT 1 FROM m WHERE m.image_id = d.image_id AND m.det_id = d.det_id)),
+ul AS (SELECT g.* FROM gt g LEFT JOIN (SELECT image_id, gt_id, 1 AS hit FROM m) x USING (image_id, gt_id) WHERE hit IS NULL),
+ud AS (SELECT d.* FROM det d JOIN (SELECT DISTINCT image_id FROM m) i USING (image_id) LEFT JOIN (SELECT image_id, det_id, 1 AS hit FROM m) x USING (image_id, det_id) WHERE conf > 0.25 AND hit IS NULL),
 cells AS (SELECT pred_cls, true_cls, count(*) AS n FROM (SELECT cls AS pred_cls, gt_cls AS true_cls FROM m UNION ALL SELECT 8, cls FROM ul UNION ALL SELECT cls, 8 FROM ud) GROUP BY ALL)"""
 
 
@@ -114,7 +114,7 @@ def giou_diou_ciou(spark, sf_dir):
     return M.pairs(*both(spark, sf_dir)).select("image_id", "det_id", "gt_id", *rounded(["giou", "diou", "ciou"], [out[k] for k in ("giou", "diou", "ciou")]))
 
 
-@register(f"""{WITH}{PAIRS} SELECT image_id, det_id FROM det WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.image_id = det.image_id AND p.det_id = det.det_id AND p.i / (p.ad + 1e-7) >= 0.6)""")
+@register(f"""{WITH}{PAIRS} SELECT image_id, det_id FROM det LEFT JOIN (SELECT DISTINCT image_id, det_id, 1 AS hidden FROM pairs WHERE i / (ad + 1e-7) >= 0.6) USING (image_id, det_id) WHERE hidden IS NULL""")
 def ioa_filter(spark, sf_dir):
     gt, det = both(spark, sf_dir)
     hidden = M.pairs(gt, det, same_class=False).where(G.ioa(G.columns("g_"), G.columns()) >= 0.6)
@@ -126,14 +126,8 @@ def match_tp_counts(spark, sf_dir):
     return M.match(*both(spark, sf_dir)).select(F.posexplode("tp").alias("thr", "hit")).groupBy("thr").agg(F.sum("hit").alias("tp"))
 
 
-@register(f"{WITH}{CURVE} SELECT cls, CAST(thr AS INT) AS thr, CAST(rn AS BIGINT) AS rn, round(recall + 1e-9, 6) AS recall, round(prec + 1e-9, 6) AS prec, round(e + 1e-9, 6) AS envelope FROM env WHERE thr IN (0, 5)")
-def pr_curve(spark, sf_dir):
-    gt, det = both(spark, sf_dir)
-    return M.curve(M.flagged(gt, det), M.class_counts(gt)).where("thr IN (0, 5)").select("cls", "thr", "rn", *rounded(["recall", "prec", "envelope"], map(F.col, ("recall", "precision", "envelope"))))
-
-
 @register(f"{WITH}{CURVE} SELECT cls, CAST(thr AS INT) AS thr, CAST(rn AS BIGINT) AS rn, round(recall + 1e-9, 6) AS recall, round(prec + 1e-9, 6) AS prec, round(e + 1e-9, 6) AS envelope FROM env")
-def pr_curves(spark, sf_dir):
+def pr_curve(spark, sf_dir):
     """The curves of all thresholds."""
     gt, det = both(spark, sf_dir)
     return M.curve(M.flagged(gt, det), M.class_counts(gt)).select("cls", "thr", "rn", *rounded(["recall", "prec", "envelope"], map(F.col, ("recall", "precision", "envelope"))))
@@ -226,14 +220,14 @@ def topk_per_image(spark, sf_dir):
 
 
 def raw(spark, sf_dir):
-    s = F.transform(F.slice("embedding", 1, 10), lambda v: v.cast("double"))
+    s = F.transform("embedding", lambda v: v.cast("double"))
     return table(spark, sf_dir, "embeddings").select("vec_id", F.col("label"), s.alias("scores"), (F.col("vec_id") % 10 / 10).alias("obj"))
 
 
-RAW = "WITH r AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda v: CAST(v AS DOUBLE)) AS s, (vec_id % 10) / 10.0::DOUBLE AS obj FROM embeddings)"
+RAW = "WITH r AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS s, (vec_id % 10) / 10.0::DOUBLE AS obj FROM embeddings)"
 
 
-@register(f"{RAW}, u AS (SELECT vec_id, obj, unnest(s) AS v, unnest(range(10)) AS cls FROM r WHERE obj > 0.25) SELECT vec_id, CAST(cls AS INT) AS cls, round(v * obj + 1e-9, 6) AS conf FROM u WHERE v * obj > 0.05")
+@register(f"{RAW}, u AS (SELECT vec_id, obj, unnest(s) AS v, unnest(range(len(s))) AS cls FROM r WHERE obj > 0.25) SELECT vec_id, CAST(cls AS INT) AS cls, round(v * obj + 1e-9, 6) AS conf FROM u WHERE v * obj > 0.05")
 def multi_label_expand(spark, sf_dir):
     return M.expand_classes(raw(spark, sf_dir).withColumn("obj", F.col("obj")), 0.05).where("obj > 0.25").select("vec_id", "cls", F.round(F.col("conf") + 1e-9, 6).alias("conf"))
 
@@ -374,8 +368,13 @@ def early_stop(spark, sf_dir):
     return D.early_stop(runs(spark, sf_dir), 10).select("run_id", "epoch", "best", "best_epoch", "stop")
 
 
-@register(f"{RUNS} SELECT run_id, epoch, round(avg(fit) OVER (PARTITION BY run_id ORDER BY epoch ROWS UNBOUNDED PRECEDING) + 1e-9, 6) AS mean FROM r")
+@register(f"{RUNS} SELECT run_id, epoch, max(fit) OVER (PARTITION BY run_id ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS best FROM r")
 def running_best(spark, sf_dir):
+    return D.running_best(runs(spark, sf_dir), "fit").select("run_id", "epoch", "best")
+
+
+@register(f"{RUNS} SELECT run_id, epoch, round(avg(fit) OVER (PARTITION BY run_id ORDER BY epoch ROWS UNBOUNDED PRECEDING) + 1e-9, 6) AS mean FROM r")
+def running_mean(spark, sf_dir):
     return D.running_mean(runs(spark, sf_dir), "fit").select("run_id", "epoch", F.round(F.col("mean") + 1e-9, 6).alias("mean"))
 
 

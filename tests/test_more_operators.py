@@ -67,15 +67,19 @@ def test_padded_top_fills_slots(spark):
     assert got == [(0, 0, 0.9, True), (1, 0, 0.8, True), (2, 1, 0.75, True), (3, -1, 0.0, False)]
 
 
-def test_next_generation_stays_in_bounds(spark):
-    log = spark.createDataFrame([(0.5, 0.01, 3.0), (0.9, 0.02, 5.0)], "fit double, lr double, box double")
-    bounds = {"lr": (1.0, 0.001, 0.02), "box": (0.0, 1.0, 4.0)}
+def test_next_population_stays_in_bounds(spark):
+    log = spark.createDataFrame([(0.5, 0.01, 3.0), (0.9, 0.02, 5.0), (0.1, 0.001, 1.0)], "fit double, lr double, box double")
+    bounds = {"lr": (0.001, 0.02), "box": (1.0, 4.0)}
     for seed in range(5):
-        got = U.next_generation(log, "fit", bounds, seed=seed)
-        assert 0.001 <= got["lr"] <= 0.02 and got["box"] in (3.0, 4.0)
-        assert got == U.next_generation(log, "fit", bounds, seed=seed)
+        got = U.next_population(log, "fit", bounds, size=12, elite=1, seed=seed)
+        assert len(got) == 12 and got[0] == {"lr": 0.02, "box": 5.0}  # the best row stays as it is
+        assert all(0.001 <= g["lr"] <= 0.02 and 1.0 <= g["box"] <= 4.0 for g in got[1:])
+        assert got == U.next_population(log, "fit", bounds, size=12, elite=1, seed=seed)
+    still = U.next_population(log, "fit", bounds, size=9, rate=0.0)
+    assert {g["lr"] for g in still} <= {0.01, 0.02, 0.001}  # crossing alone makes no new value
     with pytest.raises(ValueError, match="no rows"):
-        U.next_generation(log.limit(0), "fit", bounds)
+        U.next_population(log.limit(0), "fit", bounds)
+    assert U.best_settings(log, "fit", ["lr", "box"]) == "# fitness: 0.9\nlr: 0.02\nbox: 5\n"
 
 
 def test_first_of_tied_maxima_is_best(spark):
