@@ -1,16 +1,19 @@
 """Token ids as length-delimited binary records with masked checksums, and an offset index for shuffled reads.
 
 A record: payload length (u64), masked CRC of those 8 bytes (u32), payload, masked CRC of the payload (u32), all
-little-endian. The mask is rotation right by 15 bits plus 0xA282EAD8; the CRC is CRC-32 (zlib), since no library here
-has CRC-32C. A payload: flag (u8, 1: the document has an id), doc_id (i64), bytes per token id (u8), token ids. Beside
+little-endian. The mask is rotation right by 15 bits plus 0xA282EAD8, the CRC is CRC-32C (see _crc32c), so common record
+readers accept the files. A payload: flag (u8, 1: the document has an id), doc_id (i64), bytes per token id (u8), token ids. Beside
 ``part-N.rec``, ``part-N.idx`` has doc_id, first byte, first token and number of tokens of each record as i64 rows.
 
 Defined results: null or empty text has the end id alone; rows with equal doc_id are ordered by text, nulls first; a
-null doc_id sorts first; an empty table writes no file and reads back no row; further columns are not looked at.
+null doc_id sorts first; a very long text is one record; an empty table writes no file and reads back no row; further
+columns are not looked at. Every attempt of a task writes files of its own name, and the manifest names those of the
+attempts that Spark took: nothing is renamed, so a retried or doubled task needs no special store.
 """
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -21,38 +24,61 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxwright.llm._crc32c import crc32c
 from boxwright.llm._shared import documents, shared_dir
 from boxwright.llm._text import chunks, utf8
 from boxwright.llm._tokens import encoder
 
 HEAD = struct.Struct("<QI")
+LONGEST = 1 << 20
 META = struct.Struct("<BqB")
 MANIFEST = "part int, rec string, docs long, tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def masked(data: bytes) -> int:
-    crc = zlib.crc32(data)
-    return ((crc >> 15 | crc << 17) + 0xA282EAD8) & 0xFFFFFFFF
+def masked(crc: np.ndarray) -> np.ndarray:
+    return ((crc >> np.uint32(15) | crc << np.uint32(17)) + np.uint32(0xA282EAD8)).astype("<u4")
+
+
+def frames(payloads: list[bytes]) -> list[bytes]:
+    sizes = [struct.pack("<Q", len(p)) for p in payloads]
+    heads, bodies = masked(crc32c(sizes)), masked(crc32c(payloads))
+    return [b"".join((n, h.tobytes(), p, c.tobytes())) for n, h, p, c in zip(sizes, heads, payloads, bodies, strict=True)]
 
 
 def frame(payload: bytes) -> bytes:
-    size = struct.pack("<Q", len(payload))
-    return b"".join((size, struct.pack("<I", masked(size)), payload, struct.pack("<I", masked(payload))))
+    return frames([payload])[0]
+
 
+def unframe(stream, many: int = 1 << 22) -> Iterator[bytes]:
+    """Payloads of an open file, checked together by the batch of ``many`` bytes; ValueError where a checksum or length does not hold."""
+    heads, payloads, sums, size = [], [], [], 0
+
+    def checked() -> Iterator[bytes]:
+        if heads and (masked(crc32c([h[:8] for h in heads])) != [HEAD.unpack(h)[1] for h in heads]).any():
+            raise ValueError("length checksum does not hold")
+        if payloads and (masked(crc32c(payloads)) != sums).any():
+            raise ValueError("payload checksum does not hold")
+        yield from payloads
 
-def unframe(stream) -> Iterator[bytes]:
-    """Payloads of an open file; ValueError where a checksum or the length does not hold."""
     while head := stream.read(HEAD.size):
         if len(head) < HEAD.size:
             raise ValueError("truncated record head")
-        size, crc = HEAD.unpack(head)
-        if masked(head[:8]) != crc:
-            raise ValueError("length checksum does not hold")
-        payload, tail = stream.read(size), stream.read(4)
-        if len(payload) < size or len(tail) < 4 or struct.unpack("<I", tail)[0] != masked(payload):
+        length = HEAD.unpack(head)[0]
+        if length > LONGEST and masked(crc32c([head[:8]]))[0] != HEAD.unpack(head)[1]:
+            raise ValueError("length checksum does not hold")  # before so much is asked for
+        payload, tail = stream.read(length), stream.read(4)
+        heads.append(head)
+        if len(payload) < length or len(tail) < 4:
+            yield from checked()
             raise ValueError("payload checksum does not hold")
-        yield payload
+        payloads.append(payload)
+        sums.append(struct.unpack("<I", tail)[0])
+        size += length
+        if size >= many:
+            yield from checked()
+            heads, payloads, sums, size = [], [], [], 0
+    yield from checked()
 
 
 def packed(doc_id: int | None, ids: bytes, width: int) -> bytes:
@@ -73,25 +99,25 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         width, files = coder.dtype.itemsize, None
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         system, root = fs.FileSystem.from_uri(folder)
-        name, at, docs, tokens = f"{root}/part-{part:06d}", 0, 0, 0
+        name, at, docs, tokens = f"part-{part:06d}-{attempt}", 0, 0, 0
         for batch in batches:
             _, offs = utf8(batch.column("text"))
             for a, b in chunks(offs, 2 << 20):
                 ids = coder.encode(batch.column("text").slice(a, b - a))
                 if files is None:
                     system.create_dir(root, recursive=True)
-                    files = [system.open_output_stream(f"{root}/.{part:06d}-{attempt}.{x}") for x in ("rec", "idx")]
-                for doc_id, x in zip(batch.column("doc_id").slice(a, b - a).to_pylist(), ids, strict=True):
-                    record = frame(packed(doc_id, x + end, width))
+                    files = [system.open_output_stream(f"{root}/{name}.{x}") for x in ("rec", "idx")]
+                keys = batch.column("doc_id").slice(a, b - a).to_pylist()
+                records = frames([packed(doc_id, x + end, width) for doc_id, x in zip(keys, ids, strict=True)])
+                for doc_id, x, record in zip(keys, ids, records, strict=True):
                     n = len(x) // width + 1
                     files[0].write(record)
                     files[1].write(struct.pack("<qqqq", doc_id or 0, at, tokens, n))
                     at, docs, tokens = at + len(record), docs + 1, tokens + n
         if files:
-            for stream, x in zip(files, ("rec", "idx"), strict=True):
-                stream.close()  # a repeated attempt writes the same bytes and takes the same final name
-                system.move(f"{root}/.{part:06d}-{attempt}.{x}", f"{name}.{x}")
-            yield pa.RecordBatch.from_pylist([{"part": part, "rec": f"part-{part:06d}", "docs": docs, "tokens": tokens}], pa.schema([("part", pa.int32()), ("rec", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
+            for stream in files:
+                stream.close()
+            yield pa.RecordBatch.from_pylist([{"part": part, "rec": name, "docs": docs, "tokens": tokens}], pa.schema([("part", pa.int32()), ("rec", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
 
     return write
 
@@ -108,6 +134,12 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
     for r in done:
         out.append((r.rec, before, r.docs))
         before += r.tokens
+    if out:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder)
+        with system.open_output_stream(f"{root}/manifest.json") as stream:  # for other readers: files in order
+            stream.write(json.dumps([dict(zip(("file", "first_token", "documents"), x, strict=True)) for x in out]).encode())
     return out
 
 
