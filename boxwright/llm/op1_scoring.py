@@ -6,17 +6,21 @@ adds an embedding for each of the words at distance 1 and 2 on both sides (one t
 predicts the class of the word between through a softmax. Within a hashed class a word has its share of the class's
 occurrences in the corpus. So every word of the corpus has a probability of its own, and they sum to one.
 
-Passes, each over all documents: exact word counts (packed blocks dealt by word hash); training, where every task makes
-one epoch of Adagrad over its own documents from the same start and the corpus model is the mean of the tasks' models
-weighted by their words; scoring, where each word is masked in turn and the log-probabilities of the classes given both
-sides are summed; and the words within classes: blocks of documents send their distinct words, dealt by word hash, are
-answered with the corpus counts, and sum the logarithms of the shares for each document.
+Passes, each over all documents: exact word counts (packed blocks dealt by word hash); classes, a byte a word, as a
+table; training in ``ROUNDS`` synchronous rounds, each over the documents that a hash gives it: documents are dealt by
+hash to groups of about ``GROUP_WORDS`` words, every group makes an epoch of Adagrad from the last round's model, and the mean of the
+groups' models (and of what Adagrad has seen), weighted by words, is the next; scoring, where each word is masked in
+turn and the log-probabilities of the classes given both sides are summed; and the words within classes: blocks of
+documents send their distinct words, dealt by word hash, are answered with the corpus counts, and sum the
+logarithms of the shares for each document. Groups and their order follow from the documents alone, so scores do not
+depend on how rows lie.
 
 Every word is used in each pass. The vocabulary grows with the corpus, has no least count, and is never in one place;
 the network does not grow: only it, the TOP words and the RARE class totals are broadcast, and it knows the neighbours
 by their classes. Shares are summed as whole multiples of 1 / ``UNIT``, so that no order of tasks changes a score.
 Defined results: null and empty texts have 0 words, log_prob 0 and a null mean; ties of frequency go to the smaller
-hash; equal rows score equally; an empty table gives an empty result.
+hash; equal rows score equally; a very long text is scored whole and trained on in slices; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ V = TOP + RARE
 SHAPES = [(len(PLACES), V + 1, DIM), (DIM, V), (V,)]
 SCORES = "doc_id long, key long, n_words long, log_prob double"
 UNIT, BLOCK_WORDS = 1 << 24, 2_000_000
+GROUP_WORDS, ROUNDS, FOLDS, SLICE, END = 2_000_000, 4, 64, 1 << 20, 255
 TAILS = "block long, dest int, keys binary, word binary, n binary, docs binary, doc binary, times binary"
 
 
@@ -106,11 +111,11 @@ def start() -> list[np.ndarray]:
 
 def contexts(word: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Class at each place around every word; V beyond the document."""
-    out = np.full((len(PLACES), len(word)), V)
+    out = np.full((len(PLACES), len(word)), V, np.uint8)
     for k, o in enumerate(PLACES):
         a, b = (slice(max(0, -o), len(word) - max(0, o)), slice(max(0, o), len(word) + min(0, o)))
         if len(word) > abs(o):
-            out[k, a] = np.where(doc[a] == doc[b], word[b], V)
+            out[k, a] = np.where(doc[a] == doc[b], word[b], V).astype(np.uint8)
     return out
 
 
@@ -139,8 +144,8 @@ def train_step(model: list[np.ndarray], seen: list[np.ndarray], ctx: np.ndarray,
     dh *= 1 - h * h
     d_emb = np.zeros_like(emb)
     for k in range(len(PLACES)):
-        order = np.argsort(ctx[k].astype(np.uint8), kind="stable")
-        ids = ctx[k][order]
+        order = np.argsort(ctx[k], kind="stable")
+        ids = ctx[k][order].astype(np.int64)
         cut = np.flatnonzero(np.diff(ids, prepend=-1))
         d_emb[k][ids[cut]] = np.add.reduceat(dh[order], cut)
     d_emb[:, V] = 0
@@ -149,36 +154,76 @@ def train_step(model: list[np.ndarray], seen: list[np.ndarray], ctx: np.ndarray,
         x -= np.float32(RATE) * g / (np.sqrt(s) + np.float32(1e-7))
 
 
-def _trainer(top):
+def _classed(top):
+    """Each text as one byte a word."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = start()
-        seen, total = [np.zeros_like(x) for x in model], 0
         for batch in batches:
-            for _, _, h, doc in _word_hashes(batch.column("text")):
-                word = classes(h, top.value)
-                ctx = contexts(word, doc)
-                for x in range(0, len(word), BATCH):
-                    train_step(model, seen, ctx[:, x : x + BATCH], word[x : x + BATCH])
-                total += len(word)
-        if total:
-            flat = np.concatenate([x.ravel() for x in model]).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64()), pa.array([flat], pa.list_(pa.float32()))], ["n", "weights"])
+            for a, b, h, doc in _word_hashes(batch.column("text")):
+                word, n = classes(h, top.value).astype(np.uint8), np.bincount(doc, minlength=b - a)
+                cut = np.concatenate([[0], np.cumsum(n)])
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(a, b - a), pa.array([word[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary()), pa.array(n, pa.int64())], ["key", "classes", "n"])
 
     return run
 
 
-def train(text: DataFrame, top: np.ndarray) -> list[np.ndarray]:
-    """The mean of all tasks' models; only as many sums as the model has weights reach the driver."""
-    models = text.mapInArrow(_trainer(text.sparkSession.sparkContext.broadcast(top)), "n long, weights array<float>")
-    each = models.select("n", F.posexplode("weights").alias("at", "w"))
-    rows = each.groupBy("at").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).orderBy("at").collect()
-    if not rows:
-        return start()
-    flat, out, at = np.array([r.w for r in rows], np.float32), [], 0
-    for s in SHAPES:
-        out.append(flat[at : at + int(np.prod(s))].reshape(s))
-        at += int(np.prod(s))
-    return out
+MODEL = "fold int, group long, n long, weights binary, seen binary"
+
+
+def _shaped(flat: np.ndarray) -> list[np.ndarray]:
+    cuts = np.cumsum([int(np.prod(s)) for s in SHAPES])[:-1]
+    return [x.reshape(s).astype(np.float32) for x, s in zip(np.split(flat, cuts), SHAPES, strict=True)]
+
+
+def _learner(state):
+    """One epoch over a group's documents in order of their keys, from the shared model."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        model, seen = ([x.copy() for x in part] for part in state.value)
+        table = table.sort_by([("key", "ascending"), ("classes", "ascending")])
+        parts = [np.frombuffer(x, np.uint8) for x in table.column("classes").to_pylist()]
+        word = np.concatenate([y for x in parts for y in (x, [END])]).astype(np.uint8)  # an end is in no class
+        doc = np.repeat(np.arange(len(parts)), [len(x) + 1 for x in parts])
+        reach, total = max(PLACES), 0
+        for a in range(0, len(word), SLICE):
+            lo, hi = max(0, a - reach), min(len(word), a + SLICE + reach)
+            w = np.where(word[lo:hi] == END, V, word[lo:hi])
+            ctx = contexts(w, doc[lo:hi])[:, a - lo : a - lo + SLICE]
+            own = np.flatnonzero(word[a : a + SLICE] != END)
+            ctx, target = ctx[:, own], word[a : a + SLICE][own]
+            for x in range(0, len(target), BATCH):
+                train_step(model, seen, ctx[:, x : x + BATCH], target[x : x + BATCH])
+            total += len(target)
+        group = key[0].as_py()
+        flat = [np.concatenate([x.ravel() for x in part]).astype("<f4").tobytes() for part in (model, seen)]
+        return pa.table({"fold": pa.array([group % FOLDS], pa.int32()), "group": pa.array([group], pa.int64()), "n": pa.array([total], pa.int64()), **{c: pa.array([f], pa.binary()) for c, f in zip(("weights", "seen"), flat, strict=True)}})
+
+    return run
+
+
+def _folded(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Sums, weighted by words, of one fold's models in order of their groups."""
+    table = table.sort_by("group")
+    n = table.column("n").to_numpy()
+    sums = [sum(k * np.frombuffer(x, "<f4").astype(np.float64) for k, x in zip(n.tolist(), table.column(c).to_pylist(), strict=True)) for c in ("weights", "seen")]
+    return pa.table({"fold": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([int(n.sum())], pa.int64()), "weights": pa.array([sums[0].tobytes()], pa.binary()), "seen": pa.array([sums[1].tobytes()], pa.binary())})
+
+
+def train(rows: DataFrame, top: np.ndarray) -> list[np.ndarray]:
+    """The model after all rounds, from rows of text (and doc_id). At most FOLDS sums reach the driver in a round."""
+    context = rows.sparkSession.sparkContext
+    keyed = rows.select(F.xxhash64(*rows.columns).alias("key"), "text")
+    table = written(keyed.mapInArrow(_classed(context.broadcast(top)), "key long, classes binary, n long").where("n > 0"), "classes")
+    groups = -(-(table.agg(F.sum("n").alias("n")).first().n or 0) // GROUP_WORDS)
+    model = start()
+    seen = [np.zeros_like(x) for x in model]
+    for r in range(ROUNDS if groups else 0):
+        own = table.where(F.pmod(F.shiftright("key", 40), F.lit(ROUNDS)) == r).select(F.pmod("key", F.lit(groups)).alias("group"), "key", "classes")
+        learnt = own.repartition(groups, "group").groupBy("group").applyInArrow(_learner(context.broadcast((model, seen))), MODEL)
+        folds = sorted(learnt.groupBy("fold").applyInArrow(_folded, "fold int, n long, weights binary, seen binary").collect(), key=lambda f: f.fold)
+        if n := sum(f.n for f in folds):
+            model, seen = (_shaped(sum(np.frombuffer(f[c], "<f8") for f in folds) / n) for c in ("weights", "seen"))
+    return model
 
 
 def log_probs(model: list[np.ndarray], word: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -298,7 +343,7 @@ def score(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     text = rows.select("text")
     top = vocabulary(text)
-    shared = docs.sparkSession.sparkContext.broadcast((top, train(text, top)))
+    shared = docs.sparkSession.sparkContext.broadcast((top, train(rows.select("doc_id", "text"), top)))
     out = rows.mapInArrow(_scorer(shared), SCORES).join(within_classes(rows, top), "key", "left")
     out = out.withColumn("log_prob", F.col("log_prob") + F.coalesce("within", F.lit(0)) / F.lit(float(UNIT)))
     return out.select("doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob"))
