@@ -1,19 +1,24 @@
 """Personal data by weak supervision.
 
 Base spans (email, ip, card, phone) follow fixed patterns and checks and always stay. Further candidates (long tokens,
-loose digit groups, spelled-out addresses) get votes of three labelers: a *pattern* labeler (shape of the span), a
-*gazetteer* labeler (the word in front is in a list) and a *context* labeler (marks around). One pass counts vote and
-feature patterns over all documents, a bounded table; expectation-maximisation on it estimates each labeler's
-reliability and every pattern's posterior; a logistic span classifier is trained on these soft labels (base spans
-count as positives). A second pass applies it: candidates of probability 0.5 or more become spans.
-
-Defined results: null and empty texts have no span; an added span never overlaps a base span or an earlier added one;
-equal rows each get a row; an empty table gives an empty result, and with no candidate no span is added.
+digit groups, spelled-out addresses, names after a title, street addresses) get votes of four labelers, each of which
+may abstain: a *pattern* labeler (the form that a regular expression asks for), a *gazetteer* labeler (words in front
+that announce personal data, or that announce something else), a *context* labeler (marks around the span) and a
+*spread* labeler (how varied the characters are). One pass counts patterns of votes and features over all documents, a
+bounded table; expectation-maximisation on it estimates each labeler's reliability and every pattern's posterior;
+a logistic span classifier is trained on these soft labels (base spans count as positives). It sees what labelers do not:
+the kind, the length, the share of digits, case and separators, beside what stands around. A second
+pass applies it: candidates of probability 0.5 or more become spans.
+
+Defined results: null and empty texts have no span; an added span never overlaps a base span or an earlier added one
+(of candidates that start together the longer one, then the kind listed first); equal rows each get a row; texts of any
+length are searched whole, in linear time; an empty table gives an empty result, and with no candidate no span is added.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,7 +31,7 @@ from pyspark.sql import functions as F
 from boxwright.llm._shared import documents
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "secret", "number", "address")
+KINDS = (*BASE, "secret", "number", "address", "person", "street")
 ORDER = {k: i for i, k in enumerate(KINDS)}
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -38,12 +43,19 @@ DIGIT = re.compile(r"[0-9]")
 SECRET = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{20,}+")
 NUMBER = re.compile(r"(?<![0-9A-Za-z+.])\(?[0-9][0-9 ().-]{5,40}[0-9](?![0-9A-Za-z])")
 SPELLED = re.compile(r"[A-Za-z0-9._-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,64} ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z]{2,24}")
-#: Words that stand in front of personal data or a secret.
-GAZETTEER = frozenset("token key secret password passwd pwd apikey api_key bearer auth credential phone tel telephone mobile fax call contact ssn iban account passport mail email write reach".split())
-LABELERS, FEATURES = 3, 8
+PERSON = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme)\.? [A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30}){0,2}\b")
+STREET = re.compile(r"\b[0-9]{1,5} (?:[A-Z][a-z]{1,30} ){1,3}(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Boulevard|Blvd|Drive|Square|Court)\b")
+#: Words that stand in front of personal data or a secret, and words that stand in front of other numbers and codes.
+GAZETTEER = frozenset("token key secret password passwd pwd apikey api_key bearer auth credential credentials login phone tel telephone mobile cell fax call contact ssn iban account passport licence license mail email e-mail write reach lives at name by from dear".split())
+OTHERS = frozenset("page pages isbn issn doi version v commit sha md5 build figure fig table chapter section line lines article order invoice item model serial revision rev total sum about nearly over under between since until year years".split())
+LABELERS, FEATURES, RIDGE = 4, 23, 1e-5
 #: Prior rows of a labeler by class (not, personal) and vote (index 1: for, -1: against).
 PRIOR = np.array([[0.0, 2.0, 8.0], [0.0, 8.0, 2.0]])
 PATTERN = "kind string, votes array<int>, features array<int>, n long"
+_MARK = re.compile(r"""[=:]\s*["']?$""")
+_WORD = re.compile(r"[A-Za-z_-]+")
+_GROUPED = re.compile(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}")
+_YEARS = re.compile(r"(?:1[0-9]|20)[0-9]{2}[ -](?:1[0-9]|20)[0-9]{2}|(?:1[0-9]|20)[0-9]{2}-[01][0-9]-[0-3][0-9].*")
 
 
 def luhn(digits: str) -> bool:
@@ -90,26 +102,53 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     if DIGIT.search(text):
         out += [(*m.span(), "secret") for m in SECRET.finditer(text) if DIGIT.search(m[0])]
         out += [(*m.span(), "number") for m in NUMBER.finditer(text) if 7 <= sum(c.isdigit() for c in m[0]) <= 20]
+        out += [(*m.span(), "street") for m in STREET.finditer(text)]
     if ("(at)" in text or "[at]" in text or " at " in text) and ("(dot)" in text or "[dot]" in text or " dot " in text):
         out += [(*m.span(), "address") for m in SPELLED.finditer(text)]
+    if TITLE.search(text):
+        out += [(*m.span(), "person") for m in PERSON.finditer(text)]
     return out
 
 
+TITLE = re.compile(r"M[rs]|Dr|Prof|Herr|Frau|Sr|Mme")
+
+
+def spread(span: str) -> float:
+    """Bits a character of the span's own frequencies."""
+    return -sum(n / len(span) * math.log2(n / len(span)) for n in Counter(span).values())
+
+
 def describe(text: str, start: int, end: int, kind: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
     """Votes (1 personal, -1 not, 0 abstains) and binary features of a span."""
     span, front, back = text[start:end], text[max(0, start - 24) : start], text[end : end + 2]
     digits = sum(c in "0123456789" for c in span)
-    hexed = kind == "secret" and len(span) in (32, 40, 64) and all(c in "0123456789abcdef" for c in span.lower())
-    mixed = kind == "secret" and 4 <= digits <= 0.8 * len(span)
-    grouped = kind == "number" and bool(re.fullmatch(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}", span))
-    pattern = 1 if hexed or mixed or grouped or kind in BASE or kind == "address" else -1
-    word = re.findall(r"[A-Za-z_]+", front[-20:])
-    listed = bool(word) and word[-1].lower() in GAZETTEER
-    assigned = bool(re.search(r"""[=:]\s*["']?$""", front))
-    quoted = front[-1:] in "\"'" and front[-1:] != "" and back[:1] == front[-1:]
-    gazetteer = 1 if listed else 0 if kind in BASE else -1
-    context = 1 if assigned or quoted else 0 if kind in BASE or grouped else -1
-    return (pattern, gazetteer, context), (1, int(hexed), int(mixed), int(grouped), int(listed), int(assigned), int(quoted), int(kind in BASE))
+    # pattern: a form that is asked for; a bare code of letters or a date is against
+    if kind == "secret":
+        hexed = len(span) in (32, 40, 64) and all(c in "0123456789abcdef" for c in span.lower())
+        pattern = 1 if hexed or 4 <= digits <= 0.8 * len(span) else -1
+    elif kind == "number":
+        pattern = 1 if _GROUPED.fullmatch(span) else -1
+    else:
+        pattern = 1
+    said_ = [w.lower() for w in _WORD.findall(front)[-2:]] if front[-1:] not in "\n" else []
+    listed, other = any(w in GAZETTEER for w in said_), any(w in OTHERS for w in said_[-1:])
+    gazetteer = 1 if listed and not other else -1 if other and not listed else 0
+    assigned = bool(_MARK.search(front))
+    quoted = front[-1:] != "" and front[-1:] in "\"'" and back[:1] == front[-1:]
+    joined = front[-1:] != "" and front[-1:] in "/#@&?.-_" or back[:1] != "" and back[:1] in "/@="
+    context = 1 if assigned or quoted else -1 if joined or (kind == "number" and bool(_YEARS.fullmatch(span))) else 0
+    bits = spread(span)
+    if kind == "secret":
+        varied = 1 if bits >= 3.5 else -1 if bits < 2.8 else 0
+    elif kind == "number":
+        varied = -1 if bits < 1.8 else 0
+    else:
+        varied = 0
+    share = digits / len(span)
+    shape = [len(span) < 12, 12 <= len(span) < 24, 24 <= len(span) < 48, len(span) >= 48, share < 0.1, 0.1 <= share < 0.6, share >= 0.6]
+    shape += [any(c.isupper() for c in span), any(c.islower() for c in span), any(c in " -.()_" for c in span)]
+    features = [1, *(kind == k for k in ("secret", "number", "address", "person", "street")), kind in BASE, *shape, listed, other, assigned, quoted, joined, bits >= 3.5]
+    return (pattern, gazetteer, context, varied), tuple(map(int, features))
 
 
 def free(spans: list[tuple[int, int, str]], taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -132,7 +171,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
     for batch in batches:
         for text in batch.column("text").to_pylist():
-            if text and (DIGIT.search(text) or "@" in text or "at" in text):
+            if text:
                 base = base_spans(text)
                 for a, b, kind in [*base, *free(candidates(text), base)]:
                     seen[("base" if kind in BASE else kind, *describe(text, a, b, kind))] += 1
@@ -141,7 +180,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def patterns(docs: DataFrame) -> list:
-    """Counts of (kind, votes, features) over all documents: at most kinds x 3**LABELERS x 2**FEATURES rows."""
+    """Counts of (kind, votes, features) over all documents.
+
+    Both take few values, whatever the number of documents: features are a kind, one of four lengths, one of three shares
+    of digits, three marks of form and six of surroundings, and votes follow from them but for the pattern and the spread.
+    """
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count, PATTERN)
     return counted.groupBy("kind", "votes", "features").agg(F.sum("n").alias("n")).orderBy("kind", "votes", "features").collect()
 
@@ -172,17 +215,17 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, known: np.ndarray
 
 
 def train(rows: list) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the span classifier on describe()'s features and votes, and the labelers' reliabilities."""
+    """Weights of the span classifier on describe()'s features, and the labelers' reliabilities."""
     if not rows:
-        return np.zeros(FEATURES + LABELERS), np.full((LABELERS, 2, 3), 1 / 3)
+        return np.zeros(FEATURES), np.full((LABELERS, 2, 3), 1 / 3)
     votes, feats, n = np.array([r.votes for r in rows]), np.array([r.features for r in rows], float), np.array([r.n for r in rows], float)
     post, table = expectation_maximisation(votes, n, np.array([1.0 if r.kind == "base" else np.nan for r in rows]))
-    x, share = np.hstack([feats, votes]), n / n.sum()
+    x, share = feats, n / n.sum()
     w = np.zeros(x.shape[1])
-    for _ in range(50):  # Newton steps, ridge 1e-4
+    for _ in range(50):  # Newton steps
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (share * (p - post)) + 1e-4 * w
-        w -= np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(len(w)), grad)
+        grad = x.T @ (share * (p - post)) + RIDGE * w
+        w -= np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(w)), grad)
     return w, table
 
 
@@ -192,8 +235,7 @@ def find(text: str, weights: np.ndarray) -> tuple[list[tuple[int, int, str]], li
     base = sorted(base_spans(text), key=key)
     added = []
     for a, b, kind in free(candidates(text), base):
-        votes, feats = describe(text, a, b, kind)
-        if np.dot(weights, [*feats, *votes]) >= 0 and weights.any():
+        if weights.any() and np.dot(weights, describe(text, a, b, kind)[1]) >= 0:
             added.append((a, b, kind))
     return base, sorted([*base, *added], key=key) if added else base
 
@@ -236,24 +278,29 @@ def mask(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def _masker(weights: np.ndarray, names: list[str]):
+def _masker(weights: np.ndarray, text_at: int, size_at: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, sizes = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
+            texts = batch.column(text_at).to_pylist()
+            sizes = batch.column(size_at).to_pylist() if size_at is not None else None
             for k, text in enumerate(texts):
                 if text and (spans := find(text, weights)[1]):
                     texts[k] = mask(text, spans)
-                    sizes[k] = len(texts[k])
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else pa.array(sizes, pa.int64()) if c == "n_chars" else batch.column(c) for c in names], names)
+                    if sizes is not None:
+                        sizes[k] = len(texts[k])
+            new = {text_at: pa.array(texts, pa.string())} | ({size_at: pa.array(sizes, pa.int64())} if size_at is not None else {})
+            yield pa.RecordBatch.from_arrays([new.get(k, c) for k, c in enumerate(batch.columns)], batch.schema.names)
 
     return run
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """All documents, with every found span replaced by a mark of its kind."""
+    """All documents and columns, with every found span replaced by a mark of its kind; n_chars (if there is one) follows."""
     weights, _ = train(patterns(docs))
-    rows = docs.withColumns({"text": F.col("text").cast("string"), "n_chars": F.col("n_chars").cast("long")})
-    return rows.mapInArrow(_masker(weights, rows.columns), rows.schema)
+    kinds = {"text": "string", "n_chars": "long"}
+    rows = docs.select(*(F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in docs.columns))
+    names = rows.columns
+    return rows.mapInArrow(_masker(weights, names.index("text"), names.index("n_chars") if "n_chars" in names else None), rows.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
