@@ -2,13 +2,17 @@
 
 Five transformed statistics of each document form a vector. For every cell (language and source; language; all) the
 fit starts at the coordinatewise median and MAD and makes concentration steps: keep the ``CORE`` share of rows nearest
-by Mahalanobis distance, take their mean and covariance, repeat. Rows are judged in their most specific cell of at
-least ``MIN_CELL`` rows; beyond ``CUTOFF`` squared distances (scaled so that the median row has the chi-square median)
-they are rejected. Every step is an aggregation of sums or a mergeable quantile sketch over all documents, so a hot
-cell is combined before the shuffle; only a row of parameters for each cell is inverted in Python.
-
-Defined results: a null or empty text has no words and fails the base rule; null lang or source is a cell of its own;
-ties of a distance are kept together; equal rows each get a row; an empty table gives an empty result.
+by Mahalanobis distance, take their mean and covariance, repeat. To each variance is added the square of a floor: what
+the least event (one symbol, one repeated line, one repeated window) changes in a document of the cell's median length,
+so that a statistic that is 0 nearly everywhere does not reject all else. Rows are judged in their most specific cell of
+at least ``MIN_CELL`` rows, by the squared distance, scaled so that the median row has the chi-square median. Beyond the
+cutoff they are rejected. The cutoff is fitted to labelled documents, at most ``LABELLED`` of them, the first in hash order (see
+fitted_cutoff); without labels of both classes it is ``CUTOFF``, the 0.999 quantile of chi-square.
+
+Every step is an aggregation of sums or a mergeable quantile sketch over all documents, so a hot cell is combined before
+the shuffle; only a row of parameters for each cell is inverted in Python. Defined results: a null or empty text has no
+words and fails the base rule; null lang or source is a cell of its own; ties of a distance are kept together; equal
+rows each get a row; a very long text is counted whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,11 +31,14 @@ from boxwright.llm._text import SPACE, U64, chunks, hashes, mix, segments, sums,
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: Least standard deviation of each feature, so that a statistic that is 0 nearly everywhere does not reject all else.
-FLOORS = [0.5, 0.06, 0.06, 0.3, 0.3]
-FEATURES = [f"f{i}" for i in range(len(FLOORS))]
-#: CUTOFF: about the geometric mean of the largest distance of labelled good documents and the least of labelled junk.
-MIN_CELL, CORE, STEPS, CUTOFF, CHI2_MEDIAN = 200, 0.75, 3, 200.0, 4.351
+FEATURES = [f"f{i}" for i in range(5)]
+MIN_CELL, CORE, STEPS, CUTOFF, CHI2_MEDIAN, LABELLED = 200, 0.75, 3, 20.515, 4.351, 20_000
+
+
+def floors(n: np.ndarray | float) -> list:
+    """What the least event changes of each feature in a text of n words: for lengths the noise of a mean of n words."""
+    n = np.maximum(n, 1.0)
+    return [n**-0.5, n**-0.5 / 2, n**-0.5, n**-0.25, (6 / n) ** 0.5]
 
 
 def text_stats(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
@@ -98,14 +105,14 @@ def _cells() -> Column:
 
 
 def _inverse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Means and inverse covariance (row-major) of each cell from its sums."""
+    """Means and inverse covariance (row-major) of each cell from its sums and its median length."""
     p = len(FEATURES)
     for x in frames:
         out = []
         for r in x.itertuples(index=False):
             mean = np.array([getattr(r, f"m{i}") for i in range(p)])
             cov = np.array([[getattr(r, f"c{min(i, j)}{max(i, j)}") for j in range(p)] for i in range(p)]) - np.outer(mean, mean)
-            inv = np.linalg.inv(cov + np.diag(np.square(FLOORS)))
+            inv = np.linalg.inv(cov + np.diag(np.square(floors(np.expm1(r.middle)))))
             out.append((r.cell, mean.tolist(), inv.ravel().tolist()))
         yield pd.DataFrame(out, columns=["cell", "mean", "inv"])
 
@@ -131,7 +138,9 @@ def fit(rows: DataFrame) -> DataFrame:
     p = len(FEATURES)
     mids = written(rows.groupBy("cell").agg(F.count("*").alias("n"), *(F.percentile_approx(f, 0.5, 2000).alias(f"m{i}") for i, f in enumerate(FEATURES))), "mids")
     off = rows.join(mids, "cell").groupBy("cell").agg(*(F.percentile_approx(F.abs(F.col(f) - F.col(f"m{i}")), 0.5, 2000).alias(f"a{i}") for i, f in enumerate(FEATURES)))
-    spread = [F.lit(1.0) / (F.pow(1.4826 * F.col(f"a{i}"), 2) + FLOORS[i] ** 2) for i in range(p)]
+    n = F.greatest(F.expm1("m0"), F.lit(1.0))
+    least = [F.pow(n, F.lit(-0.5)), F.pow(n, F.lit(-0.5)) / 2, F.pow(n, F.lit(-0.5)), F.pow(n, F.lit(-0.25)), F.sqrt(6 / n)]  # floors(n)
+    spread = [F.lit(1.0) / (F.pow(1.4826 * F.col(f"a{i}"), 2) + least[i] * least[i]) for i in range(p)]
     model = mids.join(off, "cell").select("cell", F.array(*(F.col(f"m{i}") for i in range(p))).alias("mean"), F.array(*(spread[i] if i == j else F.lit(0.0) for i in range(p) for j in range(p))).alias("inv"))
     for _ in range(STEPS):
         model = written(model, "mcd")
@@ -139,13 +148,34 @@ def fit(rows: DataFrame) -> DataFrame:
         limit = written(near.groupBy("cell").agg(F.percentile_approx("d2", CORE, 2000).alias("limit")), "limit")
         core = near.join(limit, "cell").where(F.col("d2") <= F.col("limit"))
         moments = core.groupBy("cell").agg(*(F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)), *(F.avg(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"c{i}{j}") for i in range(p) for j in range(i, p)))
+        moments = moments.join(mids.select("cell", F.col("m0").alias("middle")), "cell")
         model = moments.mapInPandas(_inverse, "cell string, mean array<double>, inv array<double>")
     model = written(model, "mcd")
     scale = rows.join(model, "cell").groupBy("cell").agg((F.percentile_approx(_distance(), 0.5, 2000) / F.lit(CHI2_MEDIAN)).alias("scale"), F.count("*").alias("n"))
     return model.join(scale, "cell")
 
 
-def judge(docs: DataFrame, min_cell: int = MIN_CELL, cutoff: float = CUTOFF) -> DataFrame:
+def fitted_cutoff(judged: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> float:
+    """The cutoff that tells labelled documents (doc_id, quality 0 or 1) best apart by d2.
+
+    Of all cutoffs it takes those with the least sum of both classes' error shares, and of these the middle one of the
+    widest gap (on a logarithmic scale) between neighbouring documents. At most ``labelled`` documents are looked at.
+    """
+    some = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").select(F.col("doc_id").cast("long").alias("label_id"), "quality").orderBy(F.xxhash64("label_id"), "label_id").limit(labelled)
+    rows = judged.where("d2 IS NOT NULL").select("doc_id", "d2").join(some, F.col("doc_id") == F.col("label_id")).select("d2", "quality").collect()
+    d2, good = np.array([r.d2 for r in rows], float), np.array([r.quality == 1 for r in rows], bool)
+    if not good.any() or good.all():
+        return CUTOFF
+    order = np.lexsort((~good, d2))
+    d2, good = np.maximum(d2[order], 1e-9), good[order]
+    error = (~good).cumsum() / (~good).sum() + 1 - good.cumsum() / good.sum()  # for a cutoff just above each document
+    ends = np.append(d2[1:], d2[-1])
+    width = np.where((error <= error.min() + 1e-12) & (ends > d2), np.log(ends / d2), 0.0)
+    k = int(width.argmax())
+    return float(np.sqrt(d2[k] * ends[k])) if width[k] > 0 else CUTOFF
+
+
+def judge(docs: DataFrame, min_cell: int = MIN_CELL, labels: DataFrame | None = None) -> DataFrame:
     """document_stats with kept and d2, the scaled squared distance in the row's cell (null where the base rule rejects)."""
     stats = written(document_stats(docs), "stats")
     fair = stats.where(~F.col("base_failed")).select(F.explode(_cells()).alias("cell"), *features())
@@ -158,15 +188,19 @@ def judge(docs: DataFrame, min_cell: int = MIN_CELL, cutoff: float = CUTOFF) ->
         out = out.withColumn(f"cell{k}", F.col("cells")[k]).join(m, f"cell{k}", "left")
     out = out.withColumn("p", F.coalesce("p0", "p1", "p2")).withColumns({"mean": F.col("p.mean"), "inv": F.col("p.inv")})
     d2 = F.when(~F.col("base_failed"), _distance() / F.greatest(F.col("p.scale"), F.lit(1e-9)))
-    kept = ~F.col("base_failed") & (F.coalesce(d2, F.lit(0.0)) <= cutoff)
-    return out.select("doc_id", "lang", "source", *COUNTS, "base_failed", kept.alias("kept"), d2.alias("d2"))
+    judged = written(out.select("doc_id", "lang", "source", *COUNTS, "base_failed", d2.alias("d2")), "judged")
+    cutoff = CUTOFF if labels is None else fitted_cutoff(judged, labels)
+    kept = ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)
+    return judged.select("doc_id", "lang", "source", *COUNTS, "base_failed", kept.alias("kept"), "d2")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(documents(spark, sf_dir)).drop("lang", "source", "d2")
+    return judge(documents(spark, sf_dir), labels=documents(spark, sf_dir, "labels")).drop("lang", "source", "d2")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep. Rows with equal doc_id are judged each, and kept if any of them is (as one)."""
-    verdict = judge(docs).groupBy("doc_id").agg(F.max("kept").alias("__kept")).where("__kept").select(F.col("doc_id").alias("__id"))
-    return docs.join(verdict, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+    """Documents that the rules keep, with all columns, whatever their names. Rows with equal doc_id are judged each, and
+    kept if any of them is (as one)."""
+    verdict = judge(docs, labels=documents(spark, sf_dir, "labels")).groupBy("doc_id").agg(F.max("kept").alias("kept")).where("kept").select(F.col("doc_id").alias("kept_id"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return rows.join(verdict, F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
