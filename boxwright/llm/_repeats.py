@@ -13,7 +13,7 @@ within the one plan) and two exchanges of packed binary blocks settle every wind
 
 Buckets are ranges of doc_id, so their order is that of the documents and no position travels. Frequent windows are one
 entry a bucket however many documents hold them, so no receiver gets a hot group. Blocks are sized by the number of
-buckets and receivers, both a multiple of spark.sql.shuffle.partitions. Anchors need 32 bits beside those that dealt
+buckets and receivers, both a multiple of parts_for(), which grows with the input. Anchors need 32 bits beside those that dealt
 them (a collision only opens windows in vain), spans 48 more, windows 64.
 """
 
@@ -88,6 +88,8 @@ class Bucket:
         order = pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start")
         self.table = table.take(order)
         self.buf, self.offs = utf8(self.table.column("text"))
+        if len(self.buf) >= 1 << 32:
+            raise ValueError("a bucket holds 4 GiB of text or more, beyond its 32-bit places: raise spark.sql.shuffle.partitions")
         ids = self.table.column("doc_id").to_numpy(zero_copy_only=False)
         new = np.ones(len(ids), bool)
         if len(ids):
@@ -236,10 +238,19 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({n: pa.array(c, kinds[k]) for (n, k), c in zip(names, columns, strict=True)})
 
 
+def parts_for(docs: DataFrame, size: int = 64 << 20, most: int = 4096) -> int:
+    """spark.sql.shuffle.partitions, or more where a part would hold over ``size`` bytes of what the plan is estimated to read.
+
+    Beyond ``most`` the list of split points would burden the plan, and parts grow with the input.
+    """
+    stated = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = stated if stated < 1 << 60 else 0  # an unknown size is stated as a huge one
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(most, -(-estimate // size)))
+
+
 def without_repeats(docs: DataFrame, repeats: Callable[[int], Repeats], finish: Callable, schema: str) -> DataFrame:
     """finish(repeats, bucket, mask or None) -> table of schema, for each bucket; one plan, started by the caller's action."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts_for(docs)
     r = repeats(parts)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     points = split_points(rows.select("doc_id").na.drop(), "doc_id", 2 * parts)

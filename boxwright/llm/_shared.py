@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below spark.checkpoint.dir; only where that is unset (local runs) below a temporary folder."""
+    """A fresh folder below spark.checkpoint.dir; only where that is unset, in a local run, below a temporary folder.
+
+    Executors of a cluster do not share the driver's folders, so there the setting must be given.
+    """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         root = spark.conf.get("boxwright.shared.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="boxwright-")
         spark.conf.set("boxwright.shared.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -27,6 +33,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Deletes the table that written() made, once nothing reads it any more."""
+    spark = df.sparkSession
+    for f in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

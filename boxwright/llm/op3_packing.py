@@ -130,10 +130,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 4096) ->
     return dealt.select("doc_id", "text").mapInArrow(_packer(tokenizer, end_id, size), PIECES)
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def pieces(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    return pieces(docs).drop("ids")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from boxwright.llm import op1_scoring, op2_records, op3_packing, op4_chat, op5_pii, op6_outliers, op7_chosen_path, op8_suffixes, op9_recompression, op10_decontaminate
+from boxwright.llm import op1_scoring, op2_records, op3_packing, op4_chat, op5_pii, op6_outliers, op7_chosen_path, op8_suffixes, op9_recompression, op10_decontaminate, oracles
 
 QUERIES = {
     "op1_masked_pseudo_likelihood": op1_scoring.query,
@@ -16,4 +16,9 @@ QUERIES = {
     "op9_recompression_dedup": op9_recompression.query,
     "op10_automaton_decontamination": op10_decontaminate.query,
 }
-ORACLES = {"op4_prefix_targets": op4_chat.ORACLE}
+ORACLES = {
+    "op4_prefix_targets": op4_chat.ORACLE,
+    "op8_suffix_radix_dedup": oracles.BYTE_REPEATS,
+    "op9_recompression_dedup": oracles.WORD_REPEATS,
+    "op10_automaton_decontamination": oracles.DECONTAMINATION,
+}

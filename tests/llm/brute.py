@@ -102,6 +102,7 @@ def op10(docs, items, window=10):
     return out
 
 
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -168,3 +169,60 @@ def conversations(rows):
         loss = "".join(x for *_, r, x in turns if r == "assistant")
         out[c] = (len(turns), sha("".join(f"{r}\n{x}\n" for *_, r, x in turns)), len(loss), sha(loss))
     return out
+
+
+def op6_distances(rows, min_cell=200):
+    """Rows of (lang, source, text) -> scaled squared distance of each, None where the base rule rejects: a plain numpy fit."""
+    stats = [op6(t) for *_, t in rows]
+    n = np.array([max(s[0], 1) for s in stats], float)
+    x = np.stack([np.log1p(n), np.log1p([s[1] for s in stats] / n), np.sqrt([s[2] for s in stats] / n), np.sqrt([s[3] for s in stats] / np.sqrt(n)), np.sqrt([s[4] for s in stats] / n)], 1)
+    cells = defaultdict(list)
+    for i, (lang, source, _) in enumerate(rows):
+        if not stats[i][5]:
+            for c in ((lang, source), (lang,), ()):
+                cells[c].append(i)
+    rank = lambda v, q: np.quantile(v, q, axis=0, method="inverted_cdf")
+
+    def fit(z):
+        mid = rank(z, 0.5)
+        w = np.expm1(mid[0])
+        floor = np.diag(np.array([w**-0.5, w**-0.5 / 2, w**-0.5, w**-0.25, (6 / w) ** 0.5]) ** 2)
+        mean, inv = mid, np.linalg.inv(np.diag((1.4826 * rank(abs(z - mid), 0.5)) ** 2) + floor)
+        far = lambda y: np.einsum("ij,jk,ik->i", y - mean, inv, y - mean)
+        for _ in range(3):
+            d = far(z)
+            core = z[d <= rank(d, 0.75)]
+            mean, inv = core.mean(0), np.linalg.inv(np.cov(core.T, bias=True) + floor)
+        return far, max(rank(far(z), 0.5) / 4.351, 1e-9)
+
+    fits = {c: fit(x[at]) for c, at in cells.items() if len(at) >= min_cell or c == ()}
+    out = []
+    for i, (lang, source, _) in enumerate(rows):
+        far, scale = next((fits[c] for c in ((lang, source), (lang,), ()) if c in fits), (None, None))
+        out.append(None if stats[i][5] else far(x[i : i + 1])[0] / scale)
+    return out
+
+
+def cut_hits(text, items):
+    """A text without the stretches of words inside item windows, and the share of its words that they cover."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    spans = [m.span() for m in TERM.finditer(low)]
+    w = [low[a:b] for a, b in spans]
+    hit = [False] * len(w)
+    for item in items:
+        s = TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in item))
+        n = min(10, len(s))
+        wins = {tuple(s[i : i + n]) for i in range(len(s) - n + 1)} if s else set()
+        for i in range(len(w) - n + 1 if n else 0):
+            if tuple(w[i : i + n]) in wins:
+                hit[i : i + n] = [True] * n
+    out, at, i = [], 0, 0
+    while i < len(w):
+        if hit[i]:
+            j = i
+            while j + 1 < len(w) and hit[j + 1]:
+                j += 1
+            out.append(text[at : spans[i][0]])
+            at, i = spans[j][1], j
+        i += 1
+    return "".join([*out, text[at:]]), (sum(hit) / len(w) if w else 0.0)
