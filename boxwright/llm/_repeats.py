@@ -243,7 +243,7 @@ def parts_for(docs: DataFrame, size: int = 64 << 20, most: int = 4096) -> int:
 
     Beyond ``most`` the list of split points would burden the plan, and parts grow with the input.
     """
-    stated = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    stated = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     estimate = stated if stated < 1 << 60 else 0  # an unknown size is stated as a huge one
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(most, -(-estimate // size)))
 
