@@ -1,15 +1,15 @@
 """Similarity join of documents on 5-word shingles (Jaccard 0.8 or more) by chosen paths.
 
-Documents with equal shingle sets are one class; only classes take part. In each of ``RUNS`` runs a set picks the tokens
-whose hash, seeded by the run, is below 1 / (0.8 x its size), so two similar sets are likely to pick a token that they
-share. Sets that picked the same token form a node. Nodes of up to ``SMALL`` sets are compared by brute force on
-sketches (the least hash in each of 128 bins; a pair at the limit passes but for about one in 1e5). Larger nodes whose
-sets are similar to one of them on average (judged on a sample) are kept as a whole; all others are split again, by tokens sampled
-in the sketch, of those that the node does not agree on, and picked with a hash seeded by the path so far, down to ``DEPTH`` levels. The number of runs follows
-from the target recall, for pairs at the limit of the worst sizes in nodes that are split at every level. The first runs
-connect large groups, and in all later ones a node whose sets are connected already is skipped. What passes is joined
-to components by label propagation over nodes, and the links of every component are counted exactly (see
-verified_links): no group is gathered in one task, and no pair is emitted.
+Documents with equal shingle sets are one class; only classes take part. A class has a sketch: the least token of each
+of 128 bins. In each of ``RUNS`` runs a set picks sketched tokens by a hash that the run seeds, so two similar sets are
+likely to pick a token that they share; tokens that very many sets hold are left to the sets that hold little else (see
+thresholds). Sets that picked the same token form a node. Nodes of up to ``SMALL`` sets are compared by brute force on
+sketches (a pair at the limit passes but for about one in 1e5). Larger nodes whose sets mostly hold the same
+tokens (judged on a sample) are kept as a whole; all others are split again in the same way, with a hash seeded by the
+path so far, down to ``DEPTH`` levels. The number of runs follows from the target recall, for pairs at the limit in nodes
+that are split at every level. The first runs connect large groups, and in all later ones a node whose sets are connected
+already is skipped. What passes is joined to components by label propagation over nodes, and the links of every
+component are counted exactly (see verified_links): no group is gathered in one task, and no pair is emitted.
 
 Result of join(): doc_id, class_id (least doc_id of the connected component of links), copy_id (least doc_id with an
 equal set), n_links (documents linked to this one, copies included), n_class_links (linked classes with another set).
@@ -39,23 +39,24 @@ FIRST, ELECTORS, APART, MARGIN = 9, 32, 0.6, 0.07
 #: A large node is judged by a hash sample of its members: one in COARSE, and of those about JUDGES at most.
 COARSE, JUDGES = 16, 64
 _STEP = 0x9E3779B97F4A7C15
+EMPTY, COMMON = 0xFFFFFFFF, 4096
 
 
 def missed(runs: int, levels: int, limit: float = LIMIT) -> float:
     """Chance that a pair at the limit meets in none of the runs, where its nodes are split down to the given level.
 
-    A node of both has Poisson many common children; the chance that a common path survives follows level by level. The
-    worst sizes are those of a set that holds the other: at the first level they pick 1 common token on average (sets of
-    equal size 2 / (1 + limit)). Deeper levels pick from the sketches, whose common places are binomial and the same in
-    every run, so the mean is over their number; at worst only the share APART of the places is picked from, and all
-    places that are not common are among them (see _children).
+    A node of both has Poisson many common children; the chance that a common path survives follows level by level. All
+    picks are from the sketches, whose common places are binomial and the same in every run, so the mean is over their
+    number; at worst only the share APART of the places is picked from, and all places that are not common are among
+    them (see thresholds).
     """
     total = 0.0
     for same in range(BINS + 1):
+        mean = 2 / (1 + limit) * max(0.0, same - (1 - APART) * BINS) / ((limit - MARGIN - 1 + APART) * BINS)
         alive = 1.0
         for _ in range(levels - 1):
-            alive = 1 - math.exp(-2 / (1 + limit) * max(0.0, same - (1 - APART) * BINS) / ((limit - MARGIN - 1 + APART) * BINS) * alive)
-        total += math.comb(BINS, same) * limit**same * (1 - limit) ** (BINS - same) * math.exp(-alive) ** runs
+            alive = 1 - math.exp(-mean * alive)
+        total += math.comb(BINS, same) * limit**same * (1 - limit) ** (BINS - same) * math.exp(-mean * alive) ** runs
     return total
 
 
@@ -96,40 +97,43 @@ def fingerprints(token: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return mix(total[:, offs[1:]] - total[:, offs[:-1]] + np.diff(offs).astype(U64)).T
 
 
-def picked(token: np.ndarray, owner: np.ndarray, sizes: np.ndarray, runs: range) -> tuple[np.ndarray, np.ndarray]:
-    """Owners of the tokens that each run picks, and the keys of the nodes that they lead to.
-
-    One hash of 64 bits serves four runs. A rate is rounded up to 16 bits, so that a larger set never picks a token that
-    a smaller one holding it would not, and the mean is not missed; very large sets pick a few more tokens.
-    """
-    below = np.ceil(65536 / (LIMIT * np.maximum(sizes, 1.3))).astype(np.uint32)[owner][:, None]
-    owners, keys = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
-    for g in range(runs.start // 4, -(-runs.stop // 4)):
-        lanes = mix(token ^ mix(np.array([g + 1], U64))).view("<u2").reshape(-1, 4)
-        at, lane = np.nonzero(lanes < below)
-        run = 4 * g + lane
-        own = (run >= runs.start) & (run < runs.stop)
-        owners.append(owner[at[own]])
-        keys.append(mix(mix(token[at[own]]) + (run[own].astype(U64) + U64(1)) * U64(_STEP)))
-    return np.concatenate(owners), np.concatenate(keys)
-
-
 def sketches(token: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Per set the least 16-bit hash in each of BINS bins of its tokens; 0xFFFF: none."""
+    """Per set 32 bits of the least hash in each of BINS bins of its tokens; EMPTY: none."""
     h = mix(token ^ U64(0x632BE59BD9B4E019))
-    key = (owner.astype(U64) * U64(BINS) + h % U64(BINS)) << U64(16) | np.minimum(h >> U64(48), U64(0xFFFE))
+    key = (owner.astype(U64) * U64(BINS) + h % U64(BINS)) << U64(36) | h >> U64(28)
     key.sort()
-    slot = key >> U64(16)
+    slot = key >> U64(36)
     first = np.ones(len(key), bool)
     first[1:] = slot[1:] != slot[:-1]
-    out = np.full(n * BINS, 0xFFFF, "<u2")
-    out[slot[first].astype(np.int64)] = key[first] & U64(0xFFFF)
+    out = np.full(n * BINS, EMPTY, "<u4")
+    out[slot[first].astype(np.int64)] = np.minimum(mix(key[first] & U64((1 << 36) - 1)) >> U64(32), U64(EMPTY - 1))
     return out.reshape(n, BINS)
 
 
+def places(value: np.ndarray) -> np.ndarray:
+    """The tokens that sketches stand for: place and value."""
+    return np.arange(BINS, dtype=U64) << U64(32) | value.astype(U64)
+
+
+def thresholds(held: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Chance with which each place of a sketch is picked; ``apart`` are the places that tell sets from others.
+
+    Tokens that very many sets hold (a passage, a template) split nothing. So where APART of a sketch's places or more
+    are apart, it picks from these alone, and a set near that share from both kinds: two sets at the limit differ in
+    1 - LIMIT of all places (MARGIN more are allowed for), so they still share enough of those, and the rate rises
+    accordingly. So that pairs of the worst sizes meet as often, 2 / (1 + LIMIT) times as many are picked.
+    """
+    total, own = np.maximum(held.sum(1), 1), apart.sum(1)
+    rate = 2 / (1 + LIMIT) / np.maximum((LIMIT - MARGIN) * total, 1.3)
+    high = 2 / (1 + LIMIT) / np.maximum(own - (1 - LIMIT + MARGIN) * total, 1.3)
+    alone, both = own >= APART * total, own >= (APART - 1.6 * (1 - LIMIT)) * total
+    every, some = np.where(alone, 0.0, rate)[:, None], np.where(both, high, 0.0)[:, None]
+    return np.maximum(np.where(held, every, 0.0), np.where(apart, some, 0.0))
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated Jaccard similarity of sketches, along the last axis; two empty ones are equal."""
-    any_, same = (np.minimum(a, b) != 0xFFFF), a == b
+    any_, same = (np.minimum(a, b) != EMPTY), a == b
     n = any_.sum(-1)
     return np.where(n > 0, (any_ & same).sum(-1) / np.maximum(n, 1), 1.0)
 
@@ -141,13 +145,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             token, own = shingle_sets(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
             sizes = np.diff(own)
             owner = np.repeat(np.arange(b - a), sizes)
-            lists = []
-            for runs in (range(FIRST), range(FIRST, RUNS)):
-                docs, keys = picked(token, owner, sizes, runs)
-                order = np.argsort(docs, kind="stable")
-                lists.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=b - a))]).astype(np.int32), pa.array(keys[order].view(np.int64))))
             fp, sketch = (pa.array([x.tobytes() for x in y], pa.binary()) for y in (fingerprints(token, own), sketches(token, owner, b - a)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), fp, *lists, sketch], ["doc_id", "th", "fp", "keys", "later", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), fp, sketch], ["doc_id", "th", "fp", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,44 +159,91 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("label", "size", "n")), pa.array(fps, pa.binary()), pa.array(sets, pa.binary())], ["label", "size", "n", "fp", "tokens"])
 
 
-def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Next level of the node of each set, by the tokens that its sketch holds.
+def _values(dests: int):
+    """Packed counts of the places' values, dealt by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u4").reshape(len(batch), BINS)
+            token, n = np.unique(places(value)[value != EMPTY], return_counts=True)
+            to = (mix(token) % U64(dests)).astype(np.int64)
+            rows = [(d, token[to == d].tobytes(), n[to == d].astype("<u4").tobytes()) for d in np.unique(to).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 3, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["dest", "token", "n"])
+
+    return run
+
+
+def common_places(classes: DataFrame, dests: int = 64) -> np.ndarray:
+    """Tokens of sketches that more than SMALL sets, and one in COMMON of all, hold; judged on every COARSE-th set by hash.
 
-    Tokens that most of the node's sets hold (a passage, a template) split nothing. So where a set's sketch differs from
-    what the node agrees on in APART of its places or more, it picks from these alone, and a set near that share from
-    both: two sets at the limit differ in 1 - LIMIT of all places, so they still share enough of those, and the rate
-    rises accordingly. A sketch shares fewer of its places than a set its tokens, so it picks 2 / (1 + LIMIT) times as many.
+    At most BINS x COMMON tokens, whatever the number of sets. What is taken as common decides where a set picks, alike
+    for all sets, and not which pairs are found.
     """
+    least = max(SMALL, classes.count() / COMMON) / COARSE
+
+    def summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        token, n = (np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()]) for c, t in (("token", "<u8"), ("n", "<u4")))
+        token, place = np.unique(token, return_inverse=True)
+        return pa.table({"token": pa.array([token[np.bincount(place, n) > least].tobytes()], pa.binary())})
+
+    some = classes.where(F.pmod(F.xxhash64("fp"), F.lit(COARSE)) == 0).select("sketch")
+    rows = some.mapInArrow(_values(dests), "dest int, token binary, n binary").groupBy("dest").applyInArrow(summed, "token binary").collect()
+    return np.sort(np.frombuffer(b"".join(r.token for r in rows), "<u8"))
+
+
+def _first(common, runs: range):
+    """Nodes of each set in the given runs, picked from its sketch; a hash of 64 bits serves four runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u4").reshape(len(batch), BINS)
+            token, held = places(value), value != EMPTY
+            apart = held
+            if len(common.value):
+                at = np.minimum(np.searchsorted(common.value, token), len(common.value) - 1)
+                apart = held & (common.value[at] != token)
+            row, place = np.nonzero(held)
+            below = np.ceil(65536 * np.minimum(thresholds(held, apart)[row, place], 1.0)).astype(np.uint32)[:, None]
+            own, rows, keys = token[row, place], [], []
+            for g in range(runs.start // 4, -(-runs.stop // 4)):
+                at, lane = np.nonzero(mix(own ^ mix(np.array([g + 1], U64))).view("<u2").reshape(-1, 4) < below)
+                r = 4 * g + lane
+                inside = (r >= runs.start) & (r < runs.stop)
+                rows.append(row[at[inside]])
+                keys.append(mix(mix(own[at[inside]]) + (r[inside].astype(U64) + U64(1)) * U64(_STEP)))
+            taken = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *(batch.column(c).take(taken) for c in ("fp", "label"))], ["key", "fp", "label"])
+
+    return run
+
+
+def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Next level of the node of each set, picked from its sketch: apart are the places on which the node does not agree."""
     for batch in batches:
         n = len(batch)
         node = batch.column("key").to_numpy().view(U64)
-        value, agreed = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(n, BINS) for c in ("sketch", "agreed"))
-        held = value != 0xFFFF
-        apart = held & (value != agreed)
-        total, own = np.maximum(held.sum(1), 1), apart.sum(1)
-        token = mix(np.arange(BINS, dtype=U64) << U64(16) | value.astype(U64))
-        h = mix(token ^ mix(node)[:, None])
-        rate = 2 / (1 + LIMIT) / np.maximum((LIMIT - MARGIN) * total, 1.3)
-        high = 2 / (1 + LIMIT) / np.maximum(own - (1 - LIMIT + MARGIN) * total, 1.3)
-        alone, both = own >= APART * total, own >= (APART - 1.6 * (1 - LIMIT)) * total
-        share = h.astype(np.float64) / 2.0**64
-        row, at = np.nonzero((held & ~alone[:, None] & (share < rate[:, None])) | (apart & both[:, None] & (share < high[:, None])))
+        value, agreed = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(n, BINS) for c in ("sketch", "agreed"))
+        held = value != EMPTY
+        h = mix(mix(places(value)) ^ mix(node)[:, None])
+        row, at = np.nonzero(h.astype(np.float64) / 2.0**64 < thresholds(held, held & (value != agreed)))
         rows = pa.array(row)
         yield pa.RecordBatch.from_arrays([pa.array(mix(h[row, at] + U64(_STEP)).view(np.int64)), *(batch.column(c).take(rows) for c in ("fp", "label", "sketch"))], ["key", "fp", "label", "sketch"])
 
 
 def _judged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Of each node in the unit: how alike the judges' sketches are to its hub's, and the values that most of them hold."""
+    """Of each node in the unit: the values that most judges hold, and which share of a judge's places agree with them."""
     table = table.sort_by([("key", "ascending"), ("fp", "ascending")])
     node = table.column("key").to_numpy()
-    mine, hub = (np.frombuffer(b"".join(table.column(c).to_pylist()), "<u2").reshape(len(node), BINS) for c in ("sketch", "hub_sketch"))
+    value = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u4").reshape(len(node), BINS)
     first = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if len(node) else np.zeros(0, int)
     alike, agreed = [], []
     for x, y in zip(first, np.append(first[1:], len(node)), strict=True):
-        alike.append(float(similarity(mine[x:y], hub[x:y]).mean()))
-        ranked = np.sort(mine[x:y], axis=0)
-        middle = ranked[(y - x) // 2]  # a value that more than half hold is the median
-        agreed.append(np.where(2 * (ranked == middle).sum(0) > y - x, middle, 0xFFFF).astype("<u2").tobytes())
+        mine = value[x:y]
+        middle = np.sort(mine, axis=0)[(y - x) // 2]  # a value that more than half hold is the median
+        same = (mine == middle) & (middle != EMPTY)
+        most = 2 * same.sum(0) > y - x
+        alike.append(float(((same & most).sum(1) / np.maximum((mine != EMPTY).sum(1), 1)).mean()))
+        agreed.append(np.where(most, middle, EMPTY).astype("<u4").tobytes())
     return pa.table({"key": node[first], "alike": pa.array(alike, pa.float64()), "agreed": pa.array(agreed, pa.binary())})
 
 
@@ -221,7 +267,7 @@ def _filter(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     node = table.column("key").to_numpy()
     order = np.arange(len(node))
     fps = table.column("fp").to_pylist()
-    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u2").reshape(len(fps), BINS)
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u4").reshape(len(fps), BINS)
     out_a, out_b = [], []
     edge = np.flatnonzero(np.diff(node[order], prepend=node[order[0]] - 1 if len(order) else 0, append=0) != 0) if len(order) else np.zeros(0, int)
     cuts = np.append(np.unique(edge[edge < len(order)]), len(order)) if len(order) else edge
@@ -422,13 +468,12 @@ def candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:
         heads = sizes.where(F.col("size") > SMALL)
         if heads.isEmpty():
             break
-        # one row a node fetches the hub's sketch; a bounded sample of its members judges the node
-        heads = heads.join(sketched.select(F.col("fp").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub").select("key", "hub_sketch")
+        # a bounded sample of its members judges a node
         turn = F.pmod(F.xxhash64("fp", "key"), F.lit(1 << 30))
         some = met.where((F.col("size") > SMALL) & (turn % COARSE == 0))
         some = some.where(F.floor(turn / COARSE) % F.ceil(F.col("size") / F.lit(COARSE * JUDGES)) == 0)
-        judged = some.join(heads, "key").select("key", "fp", "sketch", "hub_sketch").groupBy(unit).applyInArrow(_judged, "key long, alike double, agreed binary")
-        none = F.struct(F.lit(0.0).alias("alike"), F.lit(b"\xff" * (2 * BINS)).alias("agreed"))  # no judge by chance: split by all
+        judged = some.select("key", "fp", "sketch").groupBy(unit).applyInArrow(_judged, "key long, alike double, agreed binary")
+        none = F.struct(F.lit(0.0).alias("alike"), F.lit(b"\xff" * (4 * BINS)).alias("agreed"))  # no judge by chance: split by all
         marks = heads.select("key").join(judged.select("key", F.struct("alike", "agreed").alias("j")), "key", "left").select("key", F.coalesce("j", none).alias("j")).select("key", "j.*")
         marks = written(marks, "marks")
         marked = met.where(F.col("size") > SMALL).join(marks, "key")
@@ -473,18 +518,23 @@ def verified_links(member: DataFrame) -> tuple[DataFrame, DataFrame]:
     return every.select("fp", "classes", "docs"), every.select(F.col("root").alias("hub"), "fp")
 
 
+NODES = "key long, fp binary, label binary"
+
+
 def join(docs: DataFrame) -> DataFrame:
     """See the module; also th, the text's hash, which tells rows with equal doc_id apart."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
-    signed = written(text.mapInArrow(_sign, "doc_id long, th long, fp binary, keys array<bigint>, later array<bigint>, sketch binary"), "signed")
+    signed = written(text.mapInArrow(_sign, "doc_id long, th long, fp binary, sketch binary"), "signed")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
-    classes = written(signed.groupBy("fp").agg(least.alias("rep"), F.count("*").alias("n"), *(F.min(c).alias(c) for c in ("keys", "later", "sketch"))), "classes")
+    classes = written(signed.groupBy("fp").agg(least.alias("rep"), F.count("*").alias("n"), F.min("sketch").alias("sketch")), "classes")
 
     # the first runs connect large groups; what lies in one group already need not meet again
-    stars = candidates(classes.select(F.explode("keys").alias("key"), "fp", F.col("fp").alias("label")), classes)
+    common = docs.sparkSession.sparkContext.broadcast(common_places(classes))
+    named = classes.select("fp", "sketch", F.col("fp").alias("label"))
+    stars = candidates(named.mapInArrow(_first(common, range(FIRST)), NODES), classes)
     comps = written(components(stars), "comps")
-    named = classes.select("fp", "later").join(comps, "fp", "left").select(F.explode("later").alias("key"), "fp", F.coalesce("label", "fp").alias("label"))
-    stars = candidates(named, classes).unionByName(comps.select(F.col("label").alias("hub"), "fp"))
+    named = classes.select("fp", "sketch").join(comps, "fp", "left").select("fp", "sketch", F.coalesce("label", "fp").alias("label"))
+    stars = candidates(named.mapInArrow(_first(common, range(FIRST, RUNS)), NODES), classes).unionByName(comps.select(F.col("label").alias("hub"), "fp"))
     comps = written(components(stars), "comps")
 
     sizes = comps.groupBy("label").agg(F.count("*").alias("size")).where("size > 1")
