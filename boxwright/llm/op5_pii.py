@@ -300,7 +300,8 @@ def redact(docs: DataFrame) -> DataFrame:
     kinds = {"text": "string", "n_chars": "long"}
     rows = docs.select(*(F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in docs.columns))
     names = rows.columns
-    return rows.mapInArrow(_masker(weights, names.index("text"), names.index("n_chars") if "n_chars" in names else None), rows.schema)
+    plain = rows.toDF(*(f"c{k}" for k in range(len(names))))  # a name with a dot does not get through mapInArrow
+    return plain.mapInArrow(_masker(weights, names.index("text"), names.index("n_chars") if "n_chars" in names else None), plain.schema).toDF(*names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

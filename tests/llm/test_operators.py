@@ -56,6 +56,10 @@ def test_scores(spark, docs, small):
     assert op1_scoring.score(empty(spark)).count() == 0
 
 
+#: Nats a word by which neighbours must help on held-out documents of the smallest table.
+GAIN = 0.02
+
+
 def test_scores_beat_unigram(small):
     """Held out: the trained network predicts words of unseen documents better than class frequencies do."""
     train, held = small.where("doc_id % 5 <> 0").select("text"), texts(small.where("doc_id % 5 = 0"))
@@ -71,7 +75,7 @@ def test_scores_beat_unigram(small):
     for _, _, h, doc in op1_scoring._word_hashes(pa.array([t for _, t in held])):
         word = op1_scoring.classes(h, top)
         total, counts, n = total + op1_scoring.log_probs(model, word, doc).sum(), counts + uni[word].sum(), n + len(word)
-    assert total / n > counts / n - 0.05  # invented words carry little order: no worse than frequencies
+    assert total / n > counts / n + GAIN
 
 
 def test_every_word_has_its_own_probability(spark, docs, monkeypatch):
@@ -84,7 +88,7 @@ def test_every_word_has_its_own_probability(spark, docs, monkeypatch):
     rows = [*ODD, (15, "never "), (16, "before seen twice twice " * 2), (16, "another text of this doc_id"), (None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     top = op1_scoring.vocabulary(df.select("text"))
-    model = op1_scoring.train(df.select("text"), top)
+    model = op1_scoring.train(df.select("doc_id", "text"), top)
     hashed = [[x for _, _, h, _ in op1_scoring._word_hashes(pa.array([t], pa.string())) for x in h.tolist()] for _, t in rows]
     word = Counter(x for h in hashed for x in h)
     of = dict(zip(word, op1_scoring.classes(np.array(list(word), np.uint64), top).tolist(), strict=True))
@@ -224,8 +228,9 @@ def test_outliers(spark, docs, small, sf_dir):
         assert not (got[d].base_failed and got[d].kept)
     for r in op6_outliers.judge(small).join(small.select("doc_id", "text"), "doc_id").collect():
         assert tuple(r[3:9]) == brute.op6(r.text)
-    judged = op6_outliers.judge(small).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").where("NOT base_failed").collect()
-    assert all(r.kept for r in judged if r.quality == 1)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = op6_outliers.judge(small, labels=labels).join(labels, "doc_id").where("NOT base_failed").collect()
+    assert all(r.kept == (r.quality == 1) for r in judged if r.quality is not None)
     assert op6_outliers.judge(empty(spark)).count() == 0
 
 

@@ -41,12 +41,12 @@ def test_repeated_doc_ids(spark, repeated_ids):
     assert sorted_rows(got) == sorted_rows(brute.op8(repeated_ids))
     got = [tuple(r) for r in op9_recompression.remove_repeats(df).select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256)).collect()]
     assert sorted_rows(got) == sorted_rows(brute.op9(brute.order(repeated_ids)))
-    got = [(r.doc_id, r.n_words) for r in op6_outliers.judge(df).collect()]
+    got = [(r.doc_id, r.n_words) for r in op6_outliers.judge(df.withColumns({"lang": F.lit("en"), "source": F.lit(None)})).collect()]
     assert sorted_rows(got) == sorted_rows([(d, brute.op6(t)[0]) for d, t in repeated_ids])
     got = [tuple(r)[:6] for r in op5_pii.find_pii(df).collect()]
     assert sorted_rows(got) == sorted_rows([(d, *brute.op5(t)[0]) for d, t in repeated_ids])
     links = op7_chosen_path.join(df).collect()
-    assert len(links) == len(repeated_ids) and {(r.doc_id, r.n_links) for r in links if r.copy_id == 1 and r.n_class_links == 0} >= {(1, 5), (3, 5), (None, 5)}
+    assert len(links) == len(repeated_ids) and {(r.doc_id, r.n_links) for r in links if r.copy_id == 1 and r.n_class_links == 0} >= {(1, 4), (3, 4), (None, 4)}
     scores = op1_scoring.score(df).collect()
     assert len(scores) == len(repeated_ids) and len({(r.doc_id, r.n_words, r.log_prob) for r in scores}) == len(set(repeated_ids))
     import public_tokenizers
@@ -301,7 +301,7 @@ def test_pipeline_against_plain_stages(spark, tmp_path):
     near = base[3].split()
     near[40] = "changed"
     rows = [(i, t) for i, t in enumerate(base)]
-    rows += [(100, base[0]), (101, " ".join(near)), (102, prose(20, rng)), (103, "again and again " * 60), (104, None), (105, ""), (106, "## $$ || " * 90 + prose(60, rng))]
+    rows += [(100, base[0]), (101, " ".join(near)), (102, prose(20, rng)), (103, "again and again " * 60), (104, None), (105, ""), (106, " ".join("#$|" + w for w in prose(150, rng).split()))]
     rows += [(107, prose(60, rng) + " " + bench[0][1] + " " + prose(60, rng)), (108, bench[1][1] + " " + bench[2][1] + " " + prose(5, rng)), (109, prose(70, rng) + " three SHORT, words " + prose(20, rng))]
     rows += [(110, prose(50, rng) + " a.b@example.org or 10.1.2.3 and 4845168114407329, +1 (974) 555-3436 " + prose(20, rng)), (None, prose(100, rng))]
     docs = spark.createDataFrame([(d, t, "en", f"s{(d or 0) % 2}", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
