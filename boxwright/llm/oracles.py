@@ -31,10 +31,11 @@ kept AS (SELECT doc_id, len(w) AS n, coalesce(removed, 0) AS removed,
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(removed AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM kept
 """
 
-#: Bytes as pairs of hexadecimal digits.
+#: Bytes as pairs of hexadecimal digits. Windows are cut from short parts, as cutting a long text takes time by its length.
 BYTE_REPEATS = r"""
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text NULLS FIRST) AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-win AS (SELECT rid, doc_id, i, substr(h, 2 * i + 1, 100) AS win FROM (SELECT rid, doc_id, h, unnest(range(CAST(length(h) // 2 - 49 AS BIGINT))) AS i FROM d WHERE length(h) >= 100)),
+part AS (SELECT rid, doc_id, a, n, substr(h, 2 * a + 1, 1098) AS p FROM (SELECT rid, doc_id, h, length(h) // 2 - 49 AS n, unnest(range(0, CAST(length(h) // 2 - 49 AS BIGINT), 500)) AS a FROM d WHERE length(h) >= 100)),
+win AS (SELECT rid, doc_id, a + i AS i, substr(p, 2 * i + 1, 100) AS win FROM (SELECT rid, doc_id, a, p, unnest(range(CAST(least(500, n - a) AS BIGINT))) AS i FROM part)),
 gone AS (SELECT rid, i FROM (SELECT rid, i, rank() OVER (PARTITION BY win ORDER BY doc_id NULLS FIRST) AS k FROM win) WHERE k > 1),
 isl AS (SELECT rid, i, sum(CASE WHEN i <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY i) AS g FROM (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM gone)),
 sp AS (SELECT rid, min(i) AS a, max(i) + 50 AS b FROM isl GROUP BY rid, g),
