@@ -53,8 +53,12 @@ def matched(near: DataFrame) -> DataFrame:
 
 def flagged(gt: DataFrame, det: DataFrame) -> DataFrame:
     """Every detection with its tp array (zeros if it has no match)."""
+    return with_hits(det, match(gt, det))
+
+
+def with_hits(det: DataFrame, hits: DataFrame) -> DataFrame:
     none = F.array(*[F.lit(0)] * len(THRESHOLDS))
-    hit = match(gt, det).select("image_id", "det_id", "tp")
+    hit = hits.select("image_id", "det_id", "tp")
     return det.select("image_id", "det_id", "cls", "conf").join(hit, ["image_id", "det_id"], "left").withColumn("tp", F.coalesce("tp", none))
 
 

@@ -191,9 +191,9 @@ def unmatched_dets(spark, sf_dir):
     return M.unmatched_detections(det, M.confusion_pairs(gt, det)).select("image_id", "det_id", "cls")
 
 
-def nms_sql(agnostic: bool) -> str:
+def nms_sql(agnostic: bool, source: str = "SELECT * FROM det WHERE conf > 0.05") -> str:
     key, same = ("image_id", "") if agnostic else ("image_id, cls", " AND n.cls = k.cls")
-    return f"""WITH RECURSIVE {SQL}, c AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY conf DESC, det_id) AS k FROM det WHERE conf > 0.05),
+    return f"""WITH RECURSIVE {SQL}, c AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY conf DESC, det_id) AS k FROM ({source})),
 st AS (SELECT image_id, cls, k, [{{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'det_id': det_id}}] AS kept FROM c WHERE k = 1
 UNION ALL SELECT n.image_id, k.cls, n.k, CASE WHEN len(list_filter(k.kept, lambda b: greatest(least(b.x2, n.x2) - greatest(b.x1, n.x1), 0) * greatest(least(b.y2, n.y2) - greatest(b.y1, n.y1), 0)
   / CAST((b.x2 - b.x1) * (b.y2 - b.y1) + (n.x2 - n.x1) * (n.y2 - n.y1) - greatest(least(b.x2, n.x2) - greatest(b.x1, n.x1), 0) * greatest(least(b.y2, n.y2) - greatest(b.y1, n.y1), 0) AS DOUBLE) > 0.45)) > 0
@@ -213,6 +213,15 @@ def nms_agnostic(spark, sf_dir):
     return M.suppress(detections(spark, sf_dir), 0.05, 0.45, agnostic=True).select("image_id", "det_id")
 
 
+_TOP3 = "SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY conf DESC, det_id) AS r FROM det WHERE conf > 0.05) WHERE r <= 3"
+
+
+@register(f"WITH n AS ({nms_sql(False, _TOP3)}), {SQL} SELECT image_id, det_id FROM (SELECT n.*, row_number() OVER (PARTITION BY n.image_id ORDER BY conf DESC, det_id) AS r FROM n JOIN det USING (image_id, det_id)) WHERE r <= 2")
+def nms_limited(spark, sf_dir):
+    """Suppression among the three best boxes of an image, of which two are given."""
+    return M.suppress(detections(spark, sf_dir), 0.05, 0.45, max_candidates=3, max_kept=2).select("image_id", "det_id")
+
+
 @register(f"{WITH} SELECT image_id, det_id, CAST(k AS INT) AS k FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY conf DESC, det_id) AS k FROM det) WHERE k <= 5")
 def topk_per_image(spark, sf_dir):
     k = F.row_number().over(Window.partitionBy("image_id").orderBy(F.desc("conf"), "det_id"))

@@ -207,6 +207,21 @@ def box_mask_counts(spark, sf_dir):
     return out.select("kind", F.posexplode("tp").alias("thr", "hit")).groupBy("kind", "thr").agg(F.sum("hit").alias("tp"))
 
 
+def _map_sql(kind: str, ctes: str) -> str:
+    return f"{ctes} SELECT '{kind}' AS kind, round(avg(ap) FILTER (thr = 0) + 1e-9, 6) AS map50, round(avg(ap) + 1e-9, 6) AS map, round(0.1 * avg(ap) FILTER (thr = 0) + 0.9 * avg(ap) + 1e-9, 6) AS fitness FROM ap"
+
+
+@register(f"SELECT * FROM ({_map_sql('box', WITH + AP)}) UNION ALL SELECT * FROM ({_map_sql('mask', MASKS + ', ' + MASK_PAIRS + AP.removeprefix(PAIRS))})")
+def box_mask_map(spark, sf_dir):
+    """Mean average precision and fitness of boxes and of masks."""
+    gt, det = both(spark, sf_dir)
+    over = K.mask_iou(K.box_runs(gt, "gt_id", 20), K.box_runs(det, "det_id", 20)).select("image_id", F.col("a_id").alias("gt_id"), F.col("b_id").alias("det_id"), "iou")
+    near = over.join(det.select("image_id", "det_id", "cls", "conf"), ["image_id", "det_id"]).join(gt.select("image_id", "gt_id", "cls"), ["image_id", "gt_id", "cls"])
+    ap = M.average_precision(gt, det).withColumn("kind", F.lit("box")).unionByName(M.precision_of(M.with_hits(det, M.matched(near)), M.class_counts(gt)).withColumn("kind", F.lit("mask")))
+    means = ap.groupBy("kind").agg(F.avg(F.when(F.col("thr") == 0, F.col("ap"))).alias("map50"), F.avg("ap").alias("map"))
+    return means.select("kind", *rounded(["map50", "map", "fitness"], [F.col("map50"), F.col("map"), F.col("map50") * 0.1 + F.col("map") * 0.9]))
+
+
 @register("SELECT event_type AS stage, round(sum(value) / (SELECT count(DISTINCT user_id) FROM events) + 1e-9, 6) AS ms_per_image FROM events GROUP BY 1")
 def stage_speed(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
@@ -369,6 +384,13 @@ def mosaic_four(spark, sf_dir):
     return labels(spark, sf_dir).select("image_id", "gt_id", *named(CORNERS, G.clipped((b[0] + left, b[1] + top, b[2] + left, b[3] + top), 1280, 1280)))
 
 
+@register(f"{WITH}, {TRI}, f AS (SELECT *, CAST({LEFT4} AS DOUBLE) AS l, CAST({TOP4} AS DOUBLE) AS t0 FROM t) SELECT image_id, gt_id, CAST(k AS INT) AS k, {clip2('x + l', 'x')}, {clip2('y + t0', 'y')} FROM f")
+def mosaic_polygons(spark, sf_dir):
+    left, top = G.tile_origin(F.col("image_id") % 4, F.lit(640.0), F.lit(480.0), 700.0, 600.0)
+    moved = F.transform(triangle(), lambda p: F.struct(G.clamp(p["x"] + left, 0, 1280).alias("x"), G.clamp(p["y"] + top, 0, 1280).alias("y")))
+    return points_out(labels(spark, sf_dir), moved)
+
+
 @register("""WITH im AS (SELECT o_orderkey AS image_id, CAST(floor(o_orderkey / 9) AS BIGINT) AS mosaic, o_orderkey % 9 AS tile, 400 + (o_orderkey * 7) % 200 AS w, 300 + (o_orderkey * 11) % 200 AS h FROM orders),
 p AS (SELECT *, first(w) OVER g AS w0, first(h) OVER g AS h0, coalesce(lag(w) OVER g, -1) AS wp, coalesce(lag(h) OVER g, -1) AS hp FROM im WINDOW g AS (PARTITION BY mosaic ORDER BY tile))
 SELECT image_id, CAST([640, 640, 640 + wp, 640 + w0, 640 + w0, 640 + w0 - w, 640 + w0 - wp - w, 640 - w, 640 - w][tile + 1] AS DOUBLE) AS "left",
@@ -439,6 +461,14 @@ def class_colours(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", C.class_colour(F.col("n_nationkey")).alias("colour"))
 
 
+@register("SELECT c_custkey, coalesce(n_name, 'none') AS name FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 5 <> 0")
+def names_map(spark, sf_dir):
+    """Class names as a map from numbers, looked up without a join: a row holds the whole dimension."""
+    names = table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").agg(F.map_from_entries(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("names"))
+    rows = table(spark, sf_dir, "customer").crossJoin(F.broadcast(names))
+    return rows.select("c_custkey", F.coalesce(F.try_element_at("names", F.col("c_nationkey")), F.lit("none")).alias("name"))
+
+
 @register("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'f' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') END AS id FROM orders")
 def numeric_ids(spark, sf_dir):
     name = F.concat(F.when(F.col("o_orderkey") % 2 == 0, "").otherwise("f"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
