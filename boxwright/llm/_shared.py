@@ -41,7 +41,14 @@ def removed(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Bytes of rows that go to a Python worker at once, where the session keeps Spark's own default of 64 MB.
+BATCH_BYTES = 4 << 20
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    """A table; from then on the session bounds batches for Python workers by bytes, so that long texts do not pile up."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == f"{64 << 20}b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from boxwright.llm._shared import documents, written
 from boxwright.llm._text import SPACE, U64, chunks, hashes, mix, segments, sums, utf8, words
@@ -76,18 +77,30 @@ def text_stats(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
 
 
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns, with COUNTS of the text."""
     for batch in batches:
         buf, offs = utf8(batch.column("text"))
         parts = [text_stats(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a]) for a, b in chunks(offs)]
         made = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [[] for _ in COUNTS]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "lang", "source")), *(pa.array(x, pa.int64()) for x in made)], ["doc_id", "lang", "source", *COUNTS])
+        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.int64()) for x in made)], [*batch.schema.names, *COUNTS])
+
+
+def _counts_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _stats(batches):
+        yield batch.select([n for n in batch.schema.names if n != "text"])
+
+
+def _with_counts(rows: DataFrame, text: bool) -> DataFrame:
+    """rows with COUNTS and base_failed, with or without the text."""
+    kept = [f for f in rows.schema if text or f.name != "text"]
+    schema = StructType([*kept, *(StructField(c, LongType()) for c in COUNTS)])
+    stats = rows.mapInArrow(_stats if text else _counts_only, schema)
+    return stats.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def document_stats(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, COUNTS and base_failed of each whole text."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("lang", "source", "text")))
-    stats = rows.mapInArrow(_stats, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
-    return stats.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    return _with_counts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("lang", "source", "text"))), False)
 
 
 def features() -> list[Column]:
@@ -175,23 +188,36 @@ def fitted_cutoff(judged: DataFrame, labels: DataFrame, labelled: int = LABELLED
     return float(np.sqrt(d2[k] * ends[k])) if width[k] > 0 else CUTOFF
 
 
-def judge(docs: DataFrame, min_cell: int = MIN_CELL, labels: DataFrame | None = None) -> DataFrame:
-    """document_stats with kept and d2, the scaled squared distance in the row's cell (null where the base rule rejects)."""
-    stats = written(document_stats(docs), "stats")
+def fitted(stats: DataFrame, min_cell: int = MIN_CELL) -> DataFrame:
+    """cell, mean, inv, scale of the cells that rows may be judged in: those that are large enough, and that of all rows."""
     fair = stats.where(~F.col("base_failed")).select(F.explode(_cells()).alias("cell"), *features())
-    model = written(fit(fair), "mcd")
-    # a row's cell: the most specific one that is large enough; the cell of all rows always is
-    large = model.where((F.col("n") >= min_cell) | (F.col("cell") == "0")).select("cell", "mean", "inv", "scale")
+    return written(fit(fair).where((F.col("n") >= min_cell) | (F.col("cell") == "0")).select("cell", "mean", "inv", "scale"), "mcd")
+
+
+def measured(stats: DataFrame, model: DataFrame) -> DataFrame:
+    """stats with d2, the scaled squared distance in the row's most specific cell (null where the base rule rejects).
+
+    The model has a row a cell; while that is small, Spark sends it to the rows, and they stay where they are.
+    """
     out = stats.select("*", *features(), _cells().alias("cells"))
     for k in range(3):
-        m = large.where(F.col("cell").startswith(str(2 - k))).select(F.col("cell").alias(f"cell{k}"), F.struct("mean", "inv", "scale").alias(f"p{k}"))
+        m = model.where(F.col("cell").startswith(str(2 - k))).select(F.col("cell").alias(f"cell{k}"), F.struct("mean", "inv", "scale").alias(f"p{k}"))
         out = out.withColumn(f"cell{k}", F.col("cells")[k]).join(m, f"cell{k}", "left")
     out = out.withColumn("p", F.coalesce("p0", "p1", "p2")).withColumns({"mean": F.col("p.mean"), "inv": F.col("p.inv")})
     d2 = F.when(~F.col("base_failed"), _distance() / F.greatest(F.col("p.scale"), F.lit(1e-9)))
-    judged = written(out.select("doc_id", "lang", "source", *COUNTS, "base_failed", d2.alias("d2")), "judged")
+    return out.select(*stats.columns, d2.alias("d2"))
+
+
+def _kept(cutoff: float) -> Column:
+    return ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)
+
+
+def judge(docs: DataFrame, min_cell: int = MIN_CELL, labels: DataFrame | None = None) -> DataFrame:
+    """document_stats with kept and d2."""
+    stats = written(document_stats(docs), "stats")
+    judged = written(measured(stats, fitted(stats, min_cell)), "judged")
     cutoff = CUTOFF if labels is None else fitted_cutoff(judged, labels)
-    kept = ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)
-    return judged.select("doc_id", "lang", "source", *COUNTS, "base_failed", kept.alias("kept"), "d2")
+    return judged.select("doc_id", "lang", "source", *COUNTS, "base_failed", _kept(cutoff).alias("kept"), "d2")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,8 +225,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, with all columns, whatever their names. Rows with equal doc_id are judged each, and
-    kept if any of them is (as one)."""
-    verdict = judge(docs, labels=documents(spark, sf_dir, "labels")).groupBy("doc_id").agg(F.max("kept").alias("kept")).where("kept").select(F.col("doc_id").alias("kept_id"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    return rows.join(verdict, F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
+    """Rows that the rules keep, with all columns, whatever their names; each row is judged by itself.
+
+    Texts are counted once more beside the fitted model, rather than joined to verdicts, so no text is shuffled.
+    """
+    stats = written(document_stats(docs), "stats")
+    model = fitted(stats)
+    cutoff = fitted_cutoff(written(measured(stats, model).select("doc_id", "d2"), "judged"), documents(spark, sf_dir, "labels"))
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(*(F.col(c).cast("string").alias(c) for c in ("text", "lang", "source")), F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"))
+    judged = measured(_with_counts(rows, True), model).where(_kept(cutoff))
+    return judged.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
