@@ -42,7 +42,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.keys, self.places = np.zeros(0, U64), np.zeros(0, np.int64)  # known pieces by ascending hash, and their numbers
         self.flat, self.used = np.zeros(1 << 16, self.dtype), 0
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -89,9 +89,12 @@ class Encoder:
 
     def _rows(self, key: np.ndarray, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Number of each distinct piece; new ones are learnt."""
-        rows = [*map(self.known.get, key.tolist())]
-        new = [k for k, r in enumerate(rows) if r is None]
-        if new:
+        at = np.searchsorted(self.keys, key)
+        hit = self.keys[np.minimum(at, len(self.keys) - 1)] == key if len(self.keys) else np.zeros(len(key), bool)
+        rows = np.empty(len(key), np.int64)
+        rows[hit] = self.places[at[hit]]
+        new = np.flatnonzero(~hit)
+        if len(new):
             data = buf.tobytes()
             made = self._learn([data[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
             count = np.array([len(x) for x in made], np.int64) // self.dtype.itemsize
@@ -102,9 +105,9 @@ class Encoder:
             self.start = np.concatenate([self.start, self.used + np.cumsum(count) - count])
             self.count = np.concatenate([self.count, count])
             self.used += len(ids)
-            for r, k in enumerate(new, len(self.known)):
-                self.known[int(key[k])] = rows[k] = r
-        return np.array(rows, np.int64)
+            rows[new] = np.arange(len(self.keys), len(self.keys) + len(new))
+            self.keys, self.places = np.insert(self.keys, at[new], key[new]), np.insert(self.places, at[new], rows[new])
+        return rows
 
     def _odd(self, buf: np.ndarray, offs: np.ndarray, space: np.ndarray) -> np.ndarray:
         """Texts that the library must see whole."""
@@ -131,7 +134,7 @@ class Encoder:
         n = len(offs) - 1
         if not len(buf):
             return [b""] * n
-        if len(self.known) > self.limit:
+        if len(self.keys) > self.limit:
             self._forget()
         space = (buf == 0x20) | (buf == 0x0A)
         odd = self._odd(buf, offs, space)
