@@ -70,14 +70,14 @@ def running(flags: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """cls, b, rn, conf, n_labels, points (thr, hit, tps: hits so far) along falling confidence; and totals by cls and cell b.
 
     Running sums in two levels: confidence cells within a class are windows of their own, and a table of cell totals
-    (at most classes x BUCKETS rows) carries the sums over; so a class is not one task. Totals are read off the windowed
-    rows, which lie by class and cell already, so the rows are dealt once.
+    (at most classes x BUCKETS rows) carries the sums over; so a class is not one task. Rows are dealt by
+    class and cell once, and both the windows and the totals read them there.
     """
     n = len(THRESHOLDS)
-    rows = flags.join(counts, "cls").withColumn("b", cell(F.col("conf")))
+    rows = flags.join(counts, "cls").withColumn("b", cell(F.col("conf"))).repartition("cls", "b")
     inner = Window.partitionBy("cls", "b").orderBy(F.desc("conf"), "image_id", "det_id").rowsBetween(Window.unboundedPreceding, 0)
     run = rows.withColumns({"i": F.count("*").over(inner), **{f"r{k}": F.sum(F.get("tp", F.lit(k))).over(inner) for k in range(n)}})
-    totals = run.groupBy("cls", "b").agg(F.max("i").alias("rows"), *(F.max(f"r{k}").alias(f"t{k}") for k in range(n)))
+    totals = rows.groupBy("cls", "b").agg(F.count("*").alias("rows"), *(F.sum(F.get("tp", F.lit(k))).alias(f"t{k}") for k in range(n)))
     before = Window.partitionBy("cls").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select("cls", "b", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"c_{c}") for c in ("rows", *(f"t{k}" for k in range(n)))))
     run = run.join(carry, ["cls", "b"])
@@ -136,12 +136,12 @@ def sampled(gt: DataFrame, det: DataFrame, points: int = 1000) -> DataFrame:
     """
     hits = flagged(gt, det).select("image_id", "det_id", "cls", "conf", F.get("tp", F.lit(0)).alias("hit"))
     level = hits.groupBy("cls", "conf").agg(F.count("*").alias("n"), F.sum("hit").alias("hits"), F.min_by("hit", F.struct("image_id", "det_id")).alias("lead"))
-    rows = level.join(class_counts(gt), "cls").withColumn("b", cell(F.col("conf")))
+    dealt = level.join(class_counts(gt), "cls").withColumn("b", cell(F.col("conf"))).repartition("cls", "b")
     # two levels, as in running(): a cell's own rows, and what a table of cells carries over
     w = Window.partitionBy("cls", "b").orderBy(F.desc("conf"))
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({"i": F.sum("n").over(upto), "c": F.sum("hits").over(upto), "up": F.lag(F.struct("conf", "n", "hits")).over(w), "down": F.lead("conf").over(w)})
-    cells = rows.groupBy("cls", "b").agg(F.max("i").alias("n"), F.max("c").alias("hits"), F.max("conf").alias("high"), F.min("conf").alias("low"))
+    rows = dealt.withColumns({"i": F.sum("n").over(upto), "c": F.sum("hits").over(upto), "up": F.lag(F.struct("conf", "n", "hits")).over(w), "down": F.lead("conf").over(w)})
+    cells = dealt.groupBy("cls", "b").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.max("conf").alias("high"), F.min("conf").alias("low"))
     by = Window.partitionBy("cls").orderBy("b")
     past = by.rowsBetween(Window.unboundedPreceding, -1)
     carry = cells.select("cls", "b", F.coalesce(F.sum("n").over(past), F.lit(0)).alias("off"), F.coalesce(F.sum("hits").over(past), F.lit(0)).alias("off_hits"), F.lag("low").over(by).alias("above"), F.lead("high").over(by).alias("below"))
