@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -158,6 +159,9 @@ def bitmap(a) -> bytes:
 
 # frames
 
+#: Frames and bytes of frames at which a batch leaves a Python worker.
+FRAMES, FRAME_BYTES = 4096, 8 << 20
+
 
 def split_frames(data: bytes, stride: int = 1) -> Iterator[tuple[int, bytes]]:
     """(number, JPEG) of each stride-th frame of motion JPEG, plain or in a container that stores its frames whole."""
@@ -175,23 +179,37 @@ def split_frames(data: bytes, stride: int = 1) -> Iterator[tuple[int, bytes]]:
 def video_frames(spark: SparkSession, folder: str, stride: int = 1) -> DataFrame:
     """path, frame_no (from 1), payload, width, height of each stride-th frame of the motion-JPEG videos below a folder.
 
-    A video is read by one task, and frames leave it one by one. Other codecs need a decoder, which is not at hand.
+    A video is read by one task, and frames leave it in batches of bounded size. Other codecs need a decoder, which is not at hand.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     return frames_of(files.where(suffix(F.col("path")).isin([*VIDEOS, "mjpeg", "mjpg"])), stride)
 
 
-def frames_of(videos: DataFrame, stride: int = 1) -> DataFrame:
-    """video_frames() of rows of path and content."""
+def frame_batches(batches: Iterator[pa.RecordBatch], stride: int = 1) -> Iterator[pa.RecordBatch]:
+    """Frames of batches of path and content, in batches of up to FRAMES frames, which end where FRAME_BYTES are reached."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for path, content in zip(f["path"], f["content"], strict=True):
-                for number, payload in split_frames(content or b"", stride):
-                    _, w, h = header(payload)
-                    yield pd.DataFrame([(path, number, payload, w, h)], columns=["path", "frame_no", "payload", "width", "height"]).astype({"width": "Int32", "height": "Int32"})
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = {"path": pa.string(), "frame_no": pa.int64(), "payload": pa.binary(), "width": pa.int32(), "height": pa.int32()}
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)], list(kinds))
 
-    return videos.select("path", "content").mapInPandas(run, "path string, frame_no long, payload binary, width int, height int")
+    rows, held = [], 0
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            name = path.as_py()
+            for number, payload in split_frames(content.as_py() or b"", stride):
+                rows.append((name, number, payload, *header(payload)[1:]))
+                held += len(payload)
+                if len(rows) >= FRAMES or held >= FRAME_BYTES:
+                    yield packed(rows)
+                    rows, held = [], 0
+    if rows:
+        yield packed(rows)
+
+
+def frames_of(videos: DataFrame, stride: int = 1) -> DataFrame:
+    """video_frames() of rows of path and content."""
+    schema = "path string, frame_no long, payload binary, width int, height int"
+    return videos.select("path", "content").mapInArrow(lambda batches: frame_batches(batches, stride), schema)
 
 
 def frame_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:

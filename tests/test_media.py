@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +80,14 @@ def test_video_frames(spark, tmp_path):
     assert [(r.frame_no, r.width) for r in got] == [(3, 12), (6, 15)] and bytes(got[0].payload) == jpeg(12, 5)
 
 
+def test_frames_leave_in_bounded_batches():
+    clips = pa.RecordBatch.from_arrays([pa.array([f"{k}.avi" for k in range(3000)] + ["none"]), pa.array([jpeg(5, 6) * 3] * 3000 + [None])], ["path", "content"])
+    sizes = [b.num_rows for b in V.frame_batches(iter([clips, clips.slice(0, 1)]))]
+    assert len(sizes) == 3 and max(sizes) == V.FRAMES and sum(sizes) == 9003
+    large = pa.RecordBatch.from_arrays([pa.array(["l.avi"]), pa.array([(jpeg(5, 6)[:-2] + bytes(3 << 20) + jpeg(5, 6)[-2:]) * 7])], ["path", "content"])
+    assert [b.num_rows for b in V.frame_batches(iter([large]))] == [3, 3, 1] and not list(V.frame_batches(iter([])))
+
+
 def test_frame_stream_stop_and_hooks(spark, tmp_path):
     from boxwright.streaming import frames as streams
 
