@@ -94,3 +94,11 @@ def test_frames_stream(spark, sf_dir, tmp_path):
     assert sorted(spark.table("newest").collect()) == sorted(R.latest(R.every(frames, 2)).collect())
     R.to_folders(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == frames.count()
+
+
+def test_resampled_builds_the_closed_polygon_once(spark):
+    df = spark.createDataFrame([([(0.0, 0.0), (2.0, 0.0), (2.0, 2.0)],), (None,)], "p array<struct<x:double,y:double>>").select(G.resampled(F.col("p"), 7).alias("r"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("concat(") == 1
+    got = df.collect()
+    assert [(p.x, p.y) for p in got[0].r] == [(0.0, 0.0), (1.0, 0.0), (2.0, 0.0), (2.0, 1.0), (2.0, 2.0), (1.0, 1.0), (0.0, 0.0)]
+    assert [(p.x, p.y) for p in got[1].r] == [(None, None)] * 7
