@@ -39,7 +39,8 @@ FIRST, ELECTORS, APART, MARGIN = 9, 32, 0.6, 0.07
 #: A large node is judged by a hash sample of its members: one in COARSE, and of those about JUDGES at most.
 COARSE, JUDGES = 16, 64
 _STEP = 0x9E3779B97F4A7C15
-EMPTY, COMMON = 0xFFFFFFFF, 4096
+#: Sets of a part in which tokens that may be common are looked for.
+EMPTY, COMMON, PART = 0xFFFFFFFF, 4096, 16384
 
 
 def missed(runs: int, levels: int, limit: float = LIMIT) -> float:
@@ -159,36 +160,79 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("label", "size", "n")), pa.array(fps, pa.binary()), pa.array(sets, pa.binary())], ["label", "size", "n", "fp", "tokens"])
 
 
-def _values(dests: int):
-    """Packed counts of the places' values, dealt by hash."""
+def _frequent(least: float, total: int, dests: int):
+    """Tokens that reach their part's share of ``least``, of parts of up to PART sets: what ``least`` of ``total`` sets hold is among them."""
+
+    def row(values: list[np.ndarray]) -> pa.RecordBatch:
+        value = np.concatenate(values)
+        token, n = np.unique(places(value)[value != EMPTY], return_counts=True)
+        token = token[n * total >= least * len(value)]
+        to = (mix(token) % U64(dests)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(to), pa.int32()), pa.array([token[to == d].tobytes() for d in np.unique(to)], pa.binary())], ["dest", "token"])
+
+    return lambda batches: (row(values) for values in _parts(batches))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Sketches as matrices, in lists of PART sets or more; a task's last list may hold fewer."""
+    values, size = [], 0
+    for batch in batches:
+        for a in range(0, len(batch), PART):
+            values.append(np.frombuffer(b"".join(batch.column("sketch").slice(a, PART).to_pylist()), "<u4").reshape(-1, BINS))
+            size += len(values[-1])
+            if size >= PART:
+                yield values
+                values, size = [], 0
+    if size:
+        yield values
+
+
+def _counts(tokens, dests: int):
+    """Packed counts of the given tokens (sorted) over all sets, dealt by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            value = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u4").reshape(len(batch), BINS)
-            token, n = np.unique(places(value)[value != EMPTY], return_counts=True)
-            to = (mix(token) % U64(dests)).astype(np.int64)
-            rows = [(d, token[to == d].tobytes(), n[to == d].astype("<u4").tobytes()) for d in np.unique(to).tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 3, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["dest", "token", "n"])
+        every = tokens.value
+        n = np.zeros(len(every), np.int64)
+        for values in _parts(batches):
+            for value in values:
+                token = places(value)[value != EMPTY]
+                at = np.minimum(np.searchsorted(every, token), len(every) - 1)
+                n += np.bincount(at[every[at] == token], minlength=len(every))
+        seen = np.flatnonzero(n)
+        to = (mix(every[seen]) % U64(dests)).astype(np.int64)
+        rows = [(d, every[seen[to == d]].tobytes(), n[seen[to == d]].astype("<u8").tobytes()) for d in np.unique(to).tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 3, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["dest", "token", "n"])
 
     return run
 
 
 def common_places(classes: DataFrame, dests: int = 64) -> np.ndarray:
-    """Tokens of sketches that more than SMALL sets, and one in COMMON of all, hold; judged on every COARSE-th set by hash.
+    """Tokens of sketches that more than SMALL sets, and one in COMMON of all, hold; counted on every set.
 
-    At most BINS x COMMON tokens, whatever the number of sets. What is taken as common decides where a set picks, alike
-    for all sets, and not which pairs are found.
+    At most BINS x COMMON tokens, whatever the number of sets. A token that reaches the limit over all sets reaches its
+    share of the limit in one part of them at least; so the tokens that do so are gathered first, and counted in all sets then.
     """
-    least = max(SMALL, classes.count() / COMMON) / COARSE
+    total = classes.count()
+    least = max(SMALL, total / COMMON)
+
+    def merged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        token = np.unique(np.frombuffer(b"".join(table.column("token").to_pylist()), "<u8"))
+        return pa.table({"token": pa.array([token.tobytes()], pa.binary())})
 
     def summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        token, n = (np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()]) for c, t in (("token", "<u8"), ("n", "<u4")))
+        token, n = (np.concatenate([np.frombuffer(x, "<u8") for x in table.column(c).to_pylist()]) for c in ("token", "n"))
         token, place = np.unique(token, return_inverse=True)
         return pa.table({"token": pa.array([token[np.bincount(place, n) > least].tobytes()], pa.binary())})
 
-    some = classes.where(F.pmod(F.xxhash64("fp"), F.lit(COARSE)) == 0).select("sketch")
-    rows = some.mapInArrow(_values(dests), "dest int, token binary, n binary").groupBy("dest").applyInArrow(summed, "token binary").collect()
-    return np.sort(np.frombuffer(b"".join(r.token for r in rows), "<u8"))
+    def gathered(rows: DataFrame, f) -> np.ndarray:
+        return np.sort(np.frombuffer(b"".join(r.token for r in rows.groupBy("dest").applyInArrow(f, "token binary").collect()), "<u8"))
+
+    sketch = classes.select("sketch")
+    likely = gathered(sketch.mapInArrow(_frequent(least, total, dests), "dest int, token binary"), merged)
+    if not len(likely):
+        return likely
+    told = classes.sparkSession.sparkContext.broadcast(likely)
+    return gathered(sketch.mapInArrow(_counts(told, dests), "dest int, token binary, n binary"), summed)
 
 
 def _first(common, runs: range):

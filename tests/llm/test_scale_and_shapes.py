@@ -346,3 +346,22 @@ def test_pipeline_against_plain_stages(spark, tmp_path):
         assert b"".join(bytes(r.ids) for r in own) == np.array([*e.library.encode(t, add_special_tokens=False).ids, 2], e.dtype).tobytes()
     whole = sorted_rows((r.doc_id, r.start, r.ids_crc32) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert whole == sorted_rows((r.doc_id, r.start, r.ids_crc32) for r in pieces)
+
+
+def test_common_places_are_counted_on_every_set(spark, monkeypatch):
+    from collections import Counter
+
+    rng = np.random.default_rng(5)
+    held = [np.where(rng.random(128) < 0.02, rng.integers(0, 3, 128), rng.integers(3, 1 << 31, 128)).astype("<u4") for _ in range(900)]
+    for k in range(400):
+        held[2 * k][7] = 5 if k < 128 + 1 else 6 if k < 2 * 128 + 1 else held[2 * k][7]  # one above the limit, and one at it
+    held[0][9] = 0xFFFFFFFF
+    rows = spark.createDataFrame([(i.to_bytes(16, "little"), bytes(h.tobytes())) for i, h in enumerate(held)], "fp binary, sketch binary")
+    n = Counter((p, int(v)) for h in held for p, v in enumerate(h) if v != 0xFFFFFFFF)
+    want = sorted(p << 32 | v for (p, v), c in n.items() if c > 128)
+    assert want == [7 << 32 | 5]
+    assert op7_chosen_path.common_places(rows).tolist() == want
+    monkeypatch.setattr(op7_chosen_path, "SMALL", 3)
+    want = sorted(p << 32 | v for (p, v), c in n.items() if c > 3)
+    assert len(want) > 100 and op7_chosen_path.common_places(rows.repartition(5)).tolist() == want
+    assert not len(op7_chosen_path.common_places(rows.limit(0)))
