@@ -20,7 +20,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -298,9 +297,9 @@ def item_blocks(benchmark: DataFrame, window: int, max_words: int, max_bytes: in
     return pieces.select(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)).cast("int").alias("block"), split[0].cast("long").alias("row"), split[1].alias("item"), "text"), blocks
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS, cut: bool = False) -> DataFrame:
     """doc_id, text, row (a struct of all other columns) and FOUND of each row: its words, hit words, items, longest match, and
-    ``cuts``, starts and ends (code points) of the hit runs."""
+    ``cuts``, starts and ends (code points) of the hit runs; with ``cut`` the text comes without these runs."""
     context = docs.sparkSession.sparkContext
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"))
@@ -311,9 +310,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words:
         return uuid.uuid4().hex, context.broadcast([(r.row, r.item, r.text) for r in items.where(F.col("block") == b).select("row", "item", "text").collect()])
 
     schema = StructType([*rows.schema, *_FOUND_SCHEMA])
+    made = (lambda f: lambda batches: _cut(f(batches))) if cut else lambda f: f
     if blocks == 1:
         key, block = held(0)
-        return rows.mapInArrow(_scanner(key, block, window), schema)
+        return rows.mapInArrow(made(_scanner(key, block, window)), schema)
     keyed = rows.withColumns({"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64("text", "doc_id", F.lit(1))})
     hits = None
     for b in range(blocks):
@@ -322,7 +322,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words:
         block.unpersist()
         hits = found if hits is None else hits.unionByName(found)
     per_doc = hits.dropDuplicates(["block", "k1", "k2"]).groupBy("k1", "k2").agg(F.collect_list(F.struct("spans", "items", "names", "longest")).alias("hits"))
-    return keyed.join(per_doc, ["k1", "k2"], "left").select("doc_id", "text", "row", "hits").mapInArrow(_merger, schema)
+    return keyed.join(per_doc, ["k1", "k2"], "left").select("doc_id", "text", "row", "hits").mapInArrow(made(_merger), schema)
 
 
 _FOUND_SCHEMA = StructType([StructField(n, {"long": LongType(), "string": StringType(), "array<bigint>": ArrayType(LongType())}[k]) for n, k in (c.split() for c in FOUND.split(", "))])
@@ -341,8 +341,21 @@ def _without(cuts: list[int], text: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def _cut(text: pd.Series, cuts: pd.Series) -> pd.Series:
-    return pd.Series([_without(c, t) if c is not None and len(c) else t for t, c in zip(text, cuts, strict=True)], dtype=object)
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with results, their texts without the hit runs.
+
+    In the worker that found them: a step of its own in the same task would keep a second worker, with its memory.
+    """
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        texts, cuts = batch.column(at), batch.column("cuts")
+        hit = np.flatnonzero(np.diff(cuts.offsets.to_numpy()))
+        if len(hit):
+            new = texts.to_pylist()
+            for d in hit.tolist():
+                new[d] = _without(cuts[d].as_py(), new[d])
+            batch = batch.set_column(at, "text", pa.array(new, texts.type))
+        yield batch
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
@@ -350,8 +363,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, window:
 
     All columns stay, whatever their names; n_chars (if there is one) follows the text where it was cut.
     """
-    found = scan(docs, benchmark, window, max_words).where(F.col("n_hit") <= F.lit(coverage) * F.col("n_words"))
-    found = found.withColumn("text", F.pandas_udf(_cut, "string")("text", "cuts"))
+    found = scan(docs, benchmark, window, max_words, cut=True).where(F.col("n_hit") <= F.lit(coverage) * F.col("n_words"))
     size = F.when(F.col("n_hit") > 0, F.length("text").cast("long"))
     columns = {"text": F.col("text")} | ({"n_chars": F.coalesce(size, F.col("row.n_chars").cast("long"))} if "n_chars" in docs.columns else {})
     return found.select(*(columns.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))

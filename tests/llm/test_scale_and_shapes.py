@@ -365,3 +365,22 @@ def test_common_places_are_counted_on_every_set(spark, monkeypatch):
     want = sorted(p << 32 | v for (p, v), c in n.items() if c > 3)
     assert len(want) > 100 and op7_chosen_path.common_places(rows.repartition(5)).tolist() == want
     assert not len(op7_chosen_path.common_places(rows.limit(0)))
+
+
+def test_decontamination_cuts_in_the_worker_that_scans(spark):
+    """A second Python step in a task keeps a second worker, whose memory stays through all later stages of the pipeline."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, "é" + " ".join(words), 7), (2, None, 8), (3, " ".join(words[5:40] + ["tail"]), 9), (4, "\u3000x  " + " ".join([*words[:30], *words[45:]]), 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    bench = spark.createDataFrame([(1, " ".join(words[10:22])), (2, " ".join(words[46:58]))], "item_id long, text string")
+    for size in (op10_decontaminate.MAX_WORDS, 12):  # one block, and several
+        out = op10_decontaminate.clean(docs, bench, coverage=0.9, max_words=size)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+        got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
+        want = {}
+        for d, t, n in rows:
+            for a, b in ((10, 22), (46, 58)):
+                t = t and t.replace(" ".join(words[a:b]), "")
+            want[d] = (t, n if t is None else len(t))
+        assert got == want
